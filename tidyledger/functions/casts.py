@@ -12,43 +12,45 @@ from pyspark.sql.types import (
     StringType,
 )
 
-from tidyledger.functions.dates import ASCII_SPACES
+from tidyledger.functions.dates import BLANKS
+
+# Number texts that are accepted (fixed values), with blanks on either side.
+# Type suffixes such as 5d or 5f are not numbers. Digits may be grouped by single
+# underscores; the first two patterns are the usual case without any.
+_PLAIN = r"(?:\d++(?:\.\d*+)?+|\.\d++)(?:[eE][+-]?\d++)?+"
+PLAIN_INTEGER_TEXT = rf"^{BLANKS}[+-]?\d++{BLANKS}\z"
+PLAIN_DOUBLE_TEXT = rf"^{BLANKS}[+-]?{_PLAIN}{BLANKS}\z"
 
-# Number texts that are accepted (fixed values). Digits may be grouped by
-# single underscores. Type suffixes such as 5d or 5f are not numbers.
 _DIGITS = r"\d++(?:_\d++)*+"
-_MANTISSA = rf"(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
+_NUMBER = rf"(?:{_DIGITS}(?:\.(?:{_DIGITS})?+)?+|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?+"
 # A minus may follow a plus in floating-point texts only.
-_SIGN = r"\+?+-?+"
-DOUBLE_TEXT = rf"^{_SIGN}{_MANTISSA}(?:[eE][+-]?{_DIGITS})?\z"
-INTEGER_TEXT = rf"^[+-]?{_MANTISSA}(?:[eE][+-]?{_DIGITS})?\z"
-INFINITY_TEXT = rf"(?i)^{_SIGN}inf(?:inity)?\z"
-NAN_TEXT = rf"(?i)^{_SIGN}nan\z"
-HEX_TEXT = r"^0[xX][0-9a-fA-F]++(?:_[0-9a-fA-F]++)*+\z"
-BINARY_TEXT = r"^0[bB][01]++(?:_[01]++)*+\z"
-
-
-def _stripped(text: Column) -> Column:
-    return F.btrim(text, F.lit(ASCII_SPACES))
-
-
-def _without_underscores(text: Column) -> Column:
-    return F.replace(text, F.lit("_"), F.lit(""))
+DOUBLE_TEXT = rf"(?i)^{BLANKS}\+?+-?+(?:{_NUMBER}|inf(?:inity)?+|nan){BLANKS}\z"
+INTEGER_TEXT = rf"^{BLANKS}[+-]?{_NUMBER}{BLANKS}\z"
+# No blanks behind these.
+PREFIXED_TEXT = rf"^{BLANKS}0(?:[xX][0-9a-fA-F]++(?:_[0-9a-fA-F]++)*+|[bB][01]++(?:_[01]++)*+)\z"
 
 
 def to_double(value: Column, source: DataType = StringType()) -> Column:
     """DOUBLE from text (or from any numeric ``source`` type), else NULL."""
     if not isinstance(source, StringType):
         return value.try_cast("double")
-    text = _stripped(value)
-    unsigned = F.ltrim(text, F.lit("+"))
-    return (
-        F.when(text.rlike(DOUBLE_TEXT), _without_underscores(unsigned).try_cast("double"))
-        .when(text.rlike(INFINITY_TEXT), unsigned.try_cast("double"))
-        .when(text.rlike(NAN_TEXT), F.lit(float("nan")))
+    # Casts know no underscores, no plus before a minus and no sign of NaN.
+    rare = F.regexp_replace(value, r"_|\+(?=-)|[+-]++(?=[nN])", "")
+    return F.when(value.rlike(PLAIN_DOUBLE_TEXT), value.try_cast("double")).when(
+        value.rlike(DOUBLE_TEXT), rare.try_cast("double")
     )
 
 
+def _prefixed_integer(text: Column) -> Column:
+    """INTEGER from hexadecimal 0x or binary 0b text."""
+    digits = F.regexp_replace(text, r"_|^\s*0[xXbB]0*(?=.)", "")
+    hexadecimal = F.lower(text).contains("x")
+    base = F.when(hexadecimal, 16).otherwise(2)
+    # Longer ones are out of range, and conv would raise on very long ones.
+    fits = F.length(digits) <= F.when(hexadecimal, 8).otherwise(31)
+    return F.when(fits, F.call_function("conv", digits, base, F.lit(10)).try_cast("int"))
+
+
 def to_integer(value: Column, source: DataType = StringType()) -> Column:
     """INTEGER from text, rounded half away from zero, else NULL.
 
@@ -62,26 +64,16 @@ def to_integer(value: Column, source: DataType = StringType()) -> Column:
         return F.round(value).try_cast("int")
     if not isinstance(source, StringType):
         return value.try_cast("int")
-    text = _stripped(value)
-    digits = _without_underscores(text)
+    digits = F.replace(value, F.lit("_"), F.lit(""))
     rounded = F.coalesce(
         F.round(digits.try_cast("decimal(38,20)")).try_cast("int"),
         # Too wide for the decimal: out of range, or a zero such as 0e400.
         F.when(digits.try_cast("double") == 0, 0),
     )
-    # Prefixed texts may have blanks in front but not behind.
-    prefixed = F.ltrim(value, F.lit(ASCII_SPACES))
-
-    def in_base(base: int, longest: int) -> Column:
-        body = F.substring(_without_underscores(prefixed), 3, 10_000)
-        body = F.regexp_replace(body, "^0+(?=.)", "")
-        # Longer ones are far out of range, and conv would raise on them.
-        return F.when(F.length(body) <= longest, F.conv(body, base, 10).try_cast("int"))
-
     return (
-        F.when(text.rlike(INTEGER_TEXT), F.coalesce(digits.try_cast("int"), rounded))
-        .when(prefixed.rlike(HEX_TEXT), in_base(16, 8))
-        .when(prefixed.rlike(BINARY_TEXT), in_base(2, 31))
+        F.when(value.rlike(PLAIN_INTEGER_TEXT), value.try_cast("int"))
+        .when(value.rlike(INTEGER_TEXT), rounded)
+        .when(value.rlike(PREFIXED_TEXT), _prefixed_integer(value))
     )
 
 

@@ -9,17 +9,20 @@ from pyspark.sql import functions as F
 # feed, vertical tab, form feed, carriage return, space. No-break and other
 # Unicode spaces do not count.
 ASCII_SPACES = "\t\n\x0b\x0c\r "
+BLANKS = r"[\t-\r ]*+"
 
 # Accepted shapes after dots became dashes (fixed values). \z and not $, which
 # would also match before a final line break.
-YEAR_FIRST = r"^\d{1,4}-\d{1,2}-\d{1,2}\z"
-DAY_FIRST = r"^\d{1,2}-\d{1,2}-\d{1,4}\z"
+YEAR_FIRST = rf"^{BLANKS}\d{{1,4}}-\d{{1,2}}-\d{{1,2}}{BLANKS}\z"
+DAY_FIRST = rf"^{BLANKS}(\d{{1,2}})-(\d{{1,2}})-(\d{{1,4}}){BLANKS}\z"
 
 
-def _calendar_day(year: Column, month: Column, day: Column) -> Column:
-    """The day as DATE, or NULL where the calendar has no such day."""
-    iso = F.concat_ws("-", F.lpad(year, 4, "0"), month, day)
-    return iso.try_cast("date")
+def _calendar_day(year_month_day: Column) -> Column:
+    """The day as DATE, or NULL where the calendar has no such day.
+
+    A year has four to seven digits in a cast, hence the zeros in front.
+    """
+    return F.concat(F.lit("000"), year_month_day).try_cast("date")
 
 
 def parse_date(text: Column) -> Column:
@@ -29,11 +32,12 @@ def parse_date(text: Column) -> Column:
     Days and months have one or two digits and years one to four. Anything
     else, other separators included, is NULL.
     """
-    dashed = F.btrim(F.translate(text, ".", "-"), F.lit(ASCII_SPACES))
-    first, middle, last = (F.split_part(dashed, F.lit("-"), F.lit(i)) for i in (1, 2, 3))
+    dashed = F.replace(text, F.lit("."), F.lit("-"))
+    day_last = F.ltrim(dashed, F.lit(ASCII_SPACES))
+    day_first = F.regexp_replace(dashed, DAY_FIRST, "$3-$2-$1")
     return F.coalesce(
-        F.when(dashed.rlike(YEAR_FIRST), _calendar_day(first, middle, last)),
-        F.when(dashed.rlike(DAY_FIRST), _calendar_day(last, middle, first)),
+        F.when(dashed.rlike(YEAR_FIRST), _calendar_day(day_last)),
+        F.when(dashed.rlike(DAY_FIRST), _calendar_day(day_first)),
     )
 
 

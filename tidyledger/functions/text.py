@@ -24,11 +24,9 @@ def clean_text(text: Column) -> Column:
     Each letter is lowered on its own: a final sigma stays a plain one, and a
     dotted capital I gives a plain i.
     """
-    trimmed = F.btrim(text, F.lit(SPACE_SEPARATORS))
-    ascii_only = F.octet_length(trimmed) == F.char_length(trimmed)
-    return F.when(ascii_only, F.lower(trimmed)).otherwise(
-        F.lower(F.translate(trimmed, "İΣ", "iσ"))
-    )
+    is_ascii = F.octet_length(text) == F.char_length(text)
+    other = F.translate(F.btrim(text, F.lit(SPACE_SEPARATORS)), "İΣ", "iσ")
+    return F.lower(F.when(is_ascii, F.trim(text)).otherwise(other))
 
 
 def strip_first_non_letter(text: Column) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidyledger.functions import TIERS, month_key, ratio, report_value
+from tidyledger.operators.fence import compute_once
 from tidyledger.operators.median import exact_median
 
 # The margin floor of each tier, the tiers whose floor itself
@@ -248,6 +249,7 @@ def payment_month_shares(counts: DataFrame) -> DataFrame:
     The month totals are broadcast (one row per month), so the counts stay
     where they are; a window over each month would gather all of its methods.
     """
+    counts = compute_once(counts, ("month_key",))
     totals = F.broadcast(payment_month_totals(counts))
     return counts.join(totals, "month_key").select(
         "month_key", "payment_method", ratio(F.col("n"), F.col("total")).alias("share")

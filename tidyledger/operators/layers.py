@@ -18,7 +18,8 @@ from tidyledger.functions import (
     to_double,
     to_integer,
 )
-from tidyledger.operators.rules import ORDER_RULES, Rule, passes_all
+from tidyledger.operators.fence import compute_once
+from tidyledger.operators.rules import ORDER_RULES, RULE_COLUMNS, Rule, passes_all
 from tidyledger.schema import BUSINESS_KEY, GOLD_COLUMNS, RAW_COLUMNS, require_columns
 
 
@@ -66,7 +67,7 @@ def normalised_beside_raw(raw: DataFrame) -> DataFrame:
 
 def silver_filtered(normalised: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -> DataFrame:
     """The rows that every rule keeps."""
-    return normalised.filter(passes_all(rules))
+    return compute_once(normalised, RULE_COLUMNS).filter(passes_all(rules))
 
 
 def _order_columns(filtered: DataFrame) -> DataFrame:

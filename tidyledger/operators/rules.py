@@ -28,6 +28,9 @@ ORDER_RULES = (
     Rule("bad_date", "parsed_dt IS NOT NULL"),
 )
 
+# The columns the rules read.
+RULE_COLUMNS = ("parsed_dt", "order_amount_old", "cost", "is_return", "hour_of_day")
+
 
 def violations(rules: tuple[Rule, ...] = ORDER_RULES) -> list[Column]:
     """One count per rule of the rows it would drop (NULL over no rows)."""

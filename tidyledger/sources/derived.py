@@ -74,13 +74,31 @@ CASE k % 29
 
 
 def dirty_orders(orders: DataFrame) -> DataFrame:
-    """The raw table, in one pass: copies are made by exploding their keys."""
-    keys = f"""
-        array_compact(array(
-            k,
-            CASE WHEN k % {COPY_EVERY} = 0 THEN k END,
-            CASE WHEN k % {REKEY_EVERY} = 0 THEN k + {REKEY_OFFSET} END
-        ))
+    """The raw table, in one pass: each order becomes an array of its copies.
+
+    All columns come out of that array, so the layers above see plain columns
+    as they would from a file, and the expressions here run once per order.
+    """
+    columns = {
+        "date": _DATE,
+        "customer_segment": _SEGMENT,
+        "order_amount_old": _AMOUNT,
+        "cost": _COST,
+        "is_return": _IS_RETURN,
+        "payment_method": _METHOD,
+        "hour_of_day": _HOUR,
+    }
+
+    def copy(key: str) -> str:
+        return f"named_struct('row_id', {key}, {', '.join(f"'{name}', {name}" for name in columns)})"
+
+    once, twice, rekeyed = copy("k"), f"k % {COPY_EVERY} = 0", f"k % {REKEY_EVERY} = 0"
+    other = copy(f"k + {REKEY_OFFSET}")
+    copies = f"""
+        inline(CASE WHEN {twice} AND {rekeyed} THEN array({once}, {once}, {other})
+                    WHEN {twice} THEN array({once}, {once})
+                    WHEN {rekeyed} THEN array({once}, {other})
+                    ELSE array({once}) END)
     """
     return (
         orders.selectExpr(
@@ -90,16 +108,8 @@ def dirty_orders(orders: DataFrame) -> DataFrame:
             "bigint(floor(o_totalprice)) AS amount",
         )
         .selectExpr("*", "string(d) AS ds")
-        .selectExpr(
-            f"explode({keys}) AS row_id",
-            f"{_DATE} AS date",
-            f"{_SEGMENT} AS customer_segment",
-            f"{_AMOUNT} AS order_amount_old",
-            f"{_COST} AS cost",
-            f"{_IS_RETURN} AS is_return",
-            f"{_METHOD} AS payment_method",
-            f"{_HOUR} AS hour_of_day",
-        )
+        .selectExpr("k", *(f"{expression} AS {name}" for name, expression in columns.items()))
+        .selectExpr(copies)
     )
 
 
