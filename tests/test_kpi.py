@@ -1,0 +1,169 @@
+"""KPIs on small clean tables with known results."""
+
+from __future__ import annotations
+
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidyledger.operators import kpi
+from tidyledger.operators.median import exact_median
+from tidyledger.schema import GOLD_SCHEMA
+
+
+def gold_of(spark, *orders):
+    """Orders as (date, segment, amount, cost, is_return, method)."""
+    rows = [
+        (i, date, segment, float(amount), float(cost), returned, method, 12)
+        for i, (date, segment, amount, cost, returned, method) in enumerate(orders)
+    ]
+    return spark.createDataFrame(rows, GOLD_SCHEMA)
+
+
+def values(df):
+    return sorted((r.kpi_value, r.kpi_key) for r in df.collect())
+
+
+def all_rows(gold):
+    """The KPIs one by one."""
+    return sorted(
+        (tuple(r) for build in kpi.KPIS.values() for r in build(gold).collect()),
+        key=lambda row: [str(v) for v in row],
+    )
+
+
+@pytest.fixture(scope="module")
+def gold(spark):
+    return gold_of(
+        spark,
+        ("01-01-2024", "standard", 100, 60, 0, "card"),  # margin at its floor: not below
+        ("02-01-2024", "premium", 100, 70, 1, "card"),  # at its floor: not below
+        ("03-01-2024", "platinum", 100, 75, 0, "cash"),  # at its floor: below
+        ("04-03-2024", "standard", 100, 61, 1, None),
+        ("05-03-2024", "gold", 200, 10, 0, "card"),
+        ("06-03-2024", None, 50, 10, 0, "cash"),
+        ("07-12-2023", "premium", 350, 10, 0, "card"),
+    )
+
+
+def test_values(gold):
+    got = {name: values(build(gold)) for name, build in kpi.KPIS.items()}
+    assert got["kpi_1"] == [("142.86", None)]
+    assert got["kpi_2"] == [("0.704", None)]
+    assert got["kpi_3"] == [("0.285714", None)]
+    assert got["kpi_4"] == [("100.0", None)]
+    assert {r.kpi_key: r.kpi_value for r in kpi.kpi_5(gold).collect()} == {
+        "card": "0.25",
+        "cash": "0.0",
+        None: "1.0",
+    }
+    assert got["kpi_6"] == [("0.55", None)]
+    assert got["kpi_7"] == [("0.4", None)]
+    # December and March both have 350: the later month wins.
+    assert got["kpi_8"] == [("2024-03", None)]
+    # February is missing, so March is compared with January.
+    assert got["kpi_9"] == [("0.166667", None)]
+    # card: 1, 2/3, 1/3; cash: 1/3, 1/3
+    assert got["kpi_10"] == [("0.333333", None)]
+
+
+def test_shift_is_taken_from_the_last_month_present(spark):
+    gold = gold_of(
+        spark,
+        ("01-01-2024", None, 10, 1, 0, "card"),
+        ("01-02-2024", None, 10, 1, 0, "cash"),
+        ("01-03-2024", None, 10, 1, 0, "card"),
+        ("02-03-2024", None, 10, 1, 0, "cash"),
+        ("03-03-2024", None, 10, 1, 0, "cash"),
+        ("04-03-2024", None, 10, 1, 0, "cash"),
+    )
+    shifts = kpi.payment_share_shift(kpi.payment_month_shares(kpi.payment_month_counts(gold)))
+    got = {(r.payment_method, r.month_key): r["diff"] for r in shifts.collect()}
+    assert got == {
+        ("card", "2024-01"): None,
+        ("card", "2024-03"): 0.75,
+        ("cash", "2024-02"): None,
+        ("cash", "2024-03"): 0.25,
+    }
+
+
+def test_all_kpis_from_one_roll_up_equal_the_single_ones(gold):
+    got = sorted((tuple(r) for r in kpi.kpi_results(gold).collect()), key=lambda r: [str(v) for v in r])
+    assert got == all_rows(gold)
+    assert len(got) == 9 + 3
+
+
+def test_no_orders(gold):
+    empty = gold.limit(0)
+    got = {name: values(build(empty)) for name, build in kpi.KPIS.items()}
+    for name in ("kpi_1", "kpi_2", "kpi_3", "kpi_4", "kpi_6", "kpi_7", "kpi_10"):
+        assert got[name] == [(None, None)], name
+    for name in ("kpi_5", "kpi_8", "kpi_9"):
+        assert got[name] == [], name
+    assert kpi.kpi_results(empty).count() == 7
+
+
+def test_one_month(spark):
+    gold = gold_of(spark, ("01-01-2024", None, 10, 1, 0, "card"))
+    assert values(kpi.kpi_9(gold)) == [(None, None)]
+    assert values(kpi.kpi_10(gold)) == [(None, None)]
+    assert values(kpi.kpi_7(gold)) == [(None, None)]
+
+
+def test_small_rate_and_nan(spark):
+    many = spark.range(100_000).select(
+        F.col("id").alias("row_id"),
+        F.lit("01-01-2024").alias("date"),
+        F.lit("gold").alias("customer_segment"),
+        F.lit(10.0).alias("order_amount_old"),
+        F.when(F.col("id") == 0, float("nan")).otherwise(1.0).alias("cost"),
+        F.when(F.col("id") == 0, 1).otherwise(0).alias("is_return"),
+        F.lit("card").alias("payment_method"),
+        F.lit(1).alias("hour_of_day"),
+    )
+    assert values(kpi.kpi_3(many)) == [("1e-05", None)]
+    assert values(kpi.kpi_2(many)) == [("nan", None)]
+
+
+CASES = [
+    [5.0],
+    [1.0, 2.0],
+    [1.0, 1.0, 1.0, 9.0],
+    [-3.0, -1.0, 0.0, 2.5],
+    [0.0, -0.0, 1e-320, 1e300],
+    [float("inf"), float("inf")],
+    [float("-inf"), 1.0, float("inf")],
+    [1.0, 1.0000000000000002, 1.0000000000000004],
+    [100.0] * 50 + [99.99, 100.01],
+]
+_rng = random.Random(5)
+CASES += [[round(_rng.uniform(5, 5000), 2) for _ in range(n)] for n in (999, 1000)]
+CASES += [[_rng.uniform(-1, 1) * 10 ** _rng.randint(-3, 3) for _ in range(n)] for n in (500, 501)]
+
+
+@pytest.mark.parametrize("bins, slots", [(1024, 2**21), (1, 4), (8, 1)])
+def test_exact_median(spark, bins, slots):
+    """All cases at once, with fine and with far too coarse bins and slots."""
+    for case in CASES:
+        df = spark.createDataFrame([(v,) for v in case] + [(None,), (None,)], "x double")
+        got = exact_median(df, "x", bins, slots).first()[0]
+        assert got == pytest.approx(statistics.median(case), rel=1e-15), case[:5]
+
+
+def test_median_treats_nan_as_largest_and_nothing_as_null(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (2.0,)], "x double")
+    assert exact_median(df, "x").first()[0] == 2.0
+    assert exact_median(df.limit(0), "x").collect() == [(None,)]
+
+
+def test_kpi_table_cleans_once(spark, gold, tmp_path):
+    """Every part of the KPI table reads the same shuffles."""
+    gold.write.parquet(str(tmp_path / "gold"))
+    distinct = spark.read.parquet(str(tmp_path / "gold")).distinct()
+    result = kpi.kpi_results(distinct)
+    result.collect()
+    plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan

@@ -1,0 +1,150 @@
+"""Cleaning layers and quality reports on hand-made rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidyledger.operators import layers, quality
+from tidyledger.operators.rules import Rule
+from tidyledger.schema import GOLD_COLUMNS, GOLD_SCHEMA, PARSED_SCHEMA, RAW_COLUMNS
+
+RAW_TYPES = "row_id long, " + ", ".join(f"{name} string" for name in RAW_COLUMNS[1:])
+
+ROWS = [
+    # row_id, date, segment, amount, cost, is_return, method, hour
+    (1, "2024-05-01", " Standrad ", "10", "4", "0", "card", "0"),
+    (1, "01.05.2024", "STANDRAD", "10.0", "4.00", "0", "card", "00"),  # the same order
+    (2, "2024-05-01", "standard", "10", "4", "0", "card", "0"),  # the same under a new key
+    (3, "2024/05/01", "gold", "10", "4", "0", "card", "1"),  # date
+    (4, "2024-05-02", "gold", "4.99", "4", "0", "card", "1"),  # amount
+    (5, "2024-05-02", None, "5.0", "0", "1", "card", "1"),  # cost
+    (6, "2024-05-02", None, "5.0", "-1", "2", None, "24"),  # cost, flag, hour
+    (7, "2024-05-02", None, "5.0", "1", "1", None, "23.4"),  # kept
+    (8, "2024-05-02", "st-and-rad", "nan", "inf", "0.4", None, "23"),  # kept
+    (9, None, None, None, None, None, None, None),
+]
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    return spark.createDataFrame(ROWS, RAW_TYPES)
+
+
+@pytest.fixture(scope="module")
+def normalised(raw):
+    return layers.silver_normalised(layers.silver_parsed(raw))
+
+
+@pytest.fixture(scope="module")
+def filtered(normalised):
+    return layers.silver_filtered(normalised)
+
+
+def test_schemas(raw, filtered):
+    assert layers.silver_parsed(raw).dtypes == [(f.name, f.dataType.simpleString()) for f in PARSED_SCHEMA]
+    assert layers.clean_table(filtered).dtypes == [(f.name, f.dataType.simpleString()) for f in GOLD_SCHEMA]
+    assert filtered.columns == ["row_id", "parsed_dt", *RAW_COLUMNS[1:]]
+
+
+def test_every_row_is_parsed_and_normalised(raw, normalised):
+    assert layers.silver_parsed(raw).count() == len(ROWS)
+    row = normalised.filter("row_id = 1").first()
+    assert row.parsed_dt == dt.datetime(2024, 5, 1)
+    assert (row.date, row.customer_segment) == ("01-05-2024", "standard")
+    assert normalised.filter("row_id = 8").first().customer_segment == "st-and-rad"
+    assert normalised.filter("row_id = 6").first().is_return is None
+
+
+def test_filter_and_distinct(filtered):
+    assert sorted(r.row_id for r in filtered.collect()) == [1, 1, 2, 7, 8]
+    gold = layers.clean_table(filtered)
+    assert sorted(r.row_id for r in gold.collect()) == [1, 2, 7, 8]
+    assert {r.date for r in gold.collect()} == {"01-05-2024", "02-05-2024"}
+    assert quality.kept_after_filter(filtered).first()[0] == 5
+    assert quality.distinct_rows(filtered).first()[0] == 4
+
+
+def test_dedup_business_key_keeps_the_smallest_key(filtered):
+    unique = layers.dedup_business_key(filtered)
+    assert sorted(r.row_id for r in unique.collect()) == [1, 7, 8]
+    assert unique.columns == list(GOLD_COLUMNS)
+
+
+def test_custom_rules_are_used_by_report_and_filter(normalised):
+    rules = (Rule("no_method", "payment_method IS NOT NULL"),)
+    assert quality.rule_impact(normalised, rules).first().asDict() == {"no_method": 4}
+    assert layers.silver_filtered(normalised, rules).count() == 6
+
+
+def test_reports(raw, normalised):
+    audit = quality.null_audit(raw).first().asDict()
+    assert audit["total_rows"] == 10 and audit["null_customer_segment"] == 4
+    assert quality.rule_impact(normalised).first().asDict() == {
+        "bad_date": 2,
+        "bad_amount": 2,
+        "bad_cost": 3,
+        "bad_return_flag": 2,
+        "bad_hour": 2,
+    }
+    summary = quality.quality_summary(raw).first().asDict()
+    assert audit.items() <= summary.items()
+    assert (summary["date_parse_failures"], summary["kept_after_filter"]) == (2, 5)
+    stages = quality.stage_row_counts(raw).orderBy("stage_no").collect()
+    assert [r.row_count for r in stages] == [10, 10, 10, 5, 4]
+    assert [r.nbr_segments for r in quality.segment_profile(normalised).collect()] == [4, 3, 2, 1]
+
+
+def test_reports_on_no_rows(raw):
+    nothing = raw.limit(0)
+    normalised = layers.silver_normalised(layers.silver_parsed(nothing))
+    assert quality.null_audit(nothing).first()[:2] == (0, None)
+    assert set(quality.rule_impact(normalised).first()) == {None}
+    assert [r.row_count for r in quality.stage_row_counts(nothing).collect()] == [0] * 5
+
+
+def test_duplicate_rows(filtered):
+    rows = quality.duplicate_rows(filtered).collect()
+    assert [(r.row_id, r.copies) for r in rows] == [(1, 2)]
+
+
+def test_ordered_sample_puts_null_last(spark):
+    df = spark.createDataFrame([(None,), (2,), (1,)], "x int")
+    assert [r.x for r in quality.sample(df, 3, ordered=True).collect()] == [1, 2, None]
+    assert quality.sample(df, 2).count() == 2
+
+
+def test_numeric_raw_columns(spark):
+    raw = spark.sql(
+        "SELECT 1L AS row_id, '2024-01-01' AS date, 'gold' AS customer_segment, 5 AS order_amount_old,"
+        " 1.5 AS cost, true AS is_return, 'card' AS payment_method, 22.5D AS hour_of_day"
+    )
+    row = layers.clean(raw).first()
+    assert (row.order_amount_old, row.cost, row.is_return, row.hour_of_day) == (5.0, 1.5, 1, 22)
+
+
+def test_missing_column_is_named(raw):
+    with pytest.raises(ValueError, match="hour_of_day"):
+        layers.silver_parsed(raw.drop("hour_of_day"))
+
+
+def test_one_order_in_a_third_of_all_rows(spark, raw):
+    """Copies of one order are merged before the shuffle and counted whole."""
+    many = spark.range(0, 30_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("row_id"),
+        F.lit("2024-05-01").alias("date"),
+        F.lit("gold").alias("customer_segment"),
+        F.lit("9").alias("order_amount_old"),
+        F.lit("1").alias("cost"),
+        F.lit("0").alias("is_return"),
+        F.lit("card").alias("payment_method"),
+        F.lit("7").alias("hour_of_day"),
+    )
+    filtered = layers.silver_filtered(layers.silver_normalised(layers.silver_parsed(many)))
+    gold = layers.clean_table(filtered)
+    assert gold.count() == 20_001
+    assert quality.duplicate_rows(filtered).first().copies == 10_000
+    plan = gold._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == 2 and plan.count("Exchange") == 1

@@ -34,11 +34,16 @@ _OCTAVES = 1100
 
 
 def _bin_of(value: Column, per_octave: int) -> Column:
-    """A bin number that never decreases when ``value`` grows; NaN is last."""
+    """A bin number that never decreases when ``value`` grows; NaN is next to last.
+
+    NULL comes last. It is counted as no copies, so it is never the middle; a
+    filter in its place would make the input differ from its other uses.
+    """
     edge = _OCTAVES * per_octave
     size = F.floor(F.log2(F.abs(value)) * per_octave).cast("int") + edge
     number = (
-        F.when(F.isnan(value), 4 * edge)
+        F.when(value.isNull(), 5 * edge)
+        .when(F.isnan(value), 4 * edge)
         .when(value == float("inf"), 3 * edge)
         .when(value == float("-inf"), -3 * edge)
         .when(value > 0, size)
@@ -87,9 +92,8 @@ def exact_median(
 
     counted = (
         df.select(F.col(column).cast("double").alias("value"))
-        .filter(value.isNotNull())
         .groupBy("value")
-        .agg(F.count(F.lit(1)).alias("copies"))
+        .agg(F.count("value").alias("copies"))
         .withColumn("bin", _bin_of(value, bins_per_octave))
     )
     everything = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)

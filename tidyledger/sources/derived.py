@@ -78,6 +78,8 @@ def dirty_orders(orders: DataFrame) -> DataFrame:
 
     All columns come out of that array, so the layers above see plain columns
     as they would from a file, and the expressions here run once per order.
+    ``array_compact`` also ends the compiled stage: together with the layers
+    the code would be too large for the JVM to compile.
     """
     columns = {
         "date": _DATE,
@@ -92,13 +94,12 @@ def dirty_orders(orders: DataFrame) -> DataFrame:
     def copy(key: str) -> str:
         return f"named_struct('row_id', {key}, {', '.join(f"'{name}', {name}" for name in columns)})"
 
-    once, twice, rekeyed = copy("k"), f"k % {COPY_EVERY} = 0", f"k % {REKEY_EVERY} = 0"
-    other = copy(f"k + {REKEY_OFFSET}")
     copies = f"""
-        inline(CASE WHEN {twice} AND {rekeyed} THEN array({once}, {once}, {other})
-                    WHEN {twice} THEN array({once}, {once})
-                    WHEN {rekeyed} THEN array({once}, {other})
-                    ELSE array({once}) END)
+        inline(array_compact(array(
+            {copy("k")},
+            CASE WHEN k % {COPY_EVERY} = 0 THEN {copy("k")} END,
+            CASE WHEN k % {REKEY_EVERY} = 0 THEN {copy(f"k + {REKEY_OFFSET}")} END
+        )))
     """
     return (
         orders.selectExpr(
