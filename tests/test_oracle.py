@@ -30,18 +30,6 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", QUERIES)
-def test_matches_oracle(spark, tables, name):
-    frame = QUERIES[name](spark, str(TABLES))
-    columns = sorted(frame.columns)
-    relation = tables.sql(ORACLE[name])
-    assert columns == sorted(relation.columns)
-    wanted = relation.select(*(f'"{c}"' for c in columns)).fetchall()
-    got = [tuple(row) for row in frame.select(*columns).collect()]
-    assert got
-    assert Counter(got) == Counter(wanted)
-
-
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
@@ -52,11 +40,17 @@ TYPES = {
 
 
 @pytest.mark.parametrize("name", QUERIES)
-def test_same_types_as_oracle(spark, tables, name):
+def test_matches_oracle(spark, tables, name):
+    """The same names, types and rows."""
     frame = QUERIES[name](spark, str(TABLES))
+    columns = sorted(frame.columns)
     relation = tables.sql(ORACLE[name])
-    wanted = dict(zip(relation.columns, map(str, relation.types), strict=True))
-    assert {c: TYPES[t] for c, t in frame.dtypes} == wanted
+    wanted_types = dict(zip(relation.columns, map(str, relation.types), strict=True))
+    assert {column: TYPES[kind] for column, kind in frame.dtypes} == wanted_types
+    wanted = relation.select(*(f'"{c}"' for c in columns)).fetchall()
+    got = [tuple(row) for row in frame.select(*columns).collect()]
+    assert got
+    assert Counter(got) == Counter(wanted)
 
 
 def test_entry(spark):

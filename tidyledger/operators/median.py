@@ -65,14 +65,15 @@ def _pick(groups: DataFrame, key: str) -> DataFrame:
     value beyond it. The window has no partitions: see the bounds above.
     """
     order = W.orderBy(key)
-    return (
-        groups.withColumn("before", F.sum("copies").over(order) - F.col("copies"))
-        .withColumn("after", F.coalesce(F.lead("low").over(order), F.col("after")))
-        .filter((F.col("before") <= F.col("target")))
-        .filter(F.col("target") < F.col("before") + F.col("copies"))
-        .withColumn("target", F.col("target") - F.col("before"))
-        .drop("before")
+    before, copies, target = F.col("before"), F.col("copies"), F.col("target")
+    ranked = groups.withColumns(
+        {
+            "before": F.sum("copies").over(order) - copies,
+            "after": F.coalesce(F.lead("low").over(order), F.col("after")),
+        }
     )
+    holds_target = (before <= target) & (target < before + copies)
+    return ranked.filter(holds_target).withColumn("target", target - before)
 
 
 def exact_median(
@@ -88,38 +89,34 @@ def exact_median(
         F.min("value").alias("low"),
         F.max("value").alias("high"),
     ]
-    carried = [F.max(name).alias(name) for name in ("target", "after", "even")]
+    carried = ("target", "after", "even")
 
     counted = (
-        df.select(F.col(column).cast("double").alias("value"))
-        .groupBy("value")
-        .agg(F.count("value").alias("copies"))
-        .withColumn("bin", _bin_of(value, bins_per_octave))
+        df.groupBy(F.col(column).cast("double").alias("value"))
+        .agg(F.count(column).alias("copies"))
+        .select("value", "copies", _bin_of(value, bins_per_octave).alias("bin"))
     )
-    everything = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    bins = (
-        counted.groupBy("bin")
-        .agg(*sizes)
-        .withColumn("total", F.sum("copies").over(everything))
-        .withColumn("target", F.floor((F.col("total") - 1) / 2))
-        .withColumn("even", F.col("total") % 2 == 0)
-        .withColumn("after", F.lit(None).cast("double"))
+    total = F.sum("copies").over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    bins = counted.groupBy("bin").agg(*sizes)
+    bins = bins.withColumns(
+        {
+            "target": F.floor((total - 1) / 2),
+            "even": total % 2 == 0,
+            "after": F.lit(None).cast("double"),
+        }
     )
     middle_bin = _pick(bins, "bin").select("bin", "low", "high", "target", "after", "even")
 
-    in_bin = (
-        counted.join(F.broadcast(middle_bin), "bin")
-        .withColumn("slot", _slot_of(value, slots))
-        .drop("low", "high")
-    )
-    middle_slot = _pick(in_bin.groupBy("slot").agg(*sizes, *carried), "slot")
-    middle_slot = middle_slot.select("slot", "target", "after", "even")
+    in_bin = counted.join(F.broadcast(middle_bin), "bin")
+    in_bin = in_bin.select("value", "copies", _slot_of(value, slots).alias("slot"), *carried)
+    in_slots = in_bin.groupBy("slot").agg(*sizes, *(F.max(name).alias(name) for name in carried))
+    middle_slot = _pick(in_slots, "slot").select("slot", "target", "after", "even")
 
-    in_slot = in_bin.drop("target", "after", "even").join(F.broadcast(middle_slot), "slot")
-    middle = _pick(in_slot.withColumn("low", value), "value")
+    in_slot = in_bin.select("value", "copies", "slot", value.alias("low"))
+    middle = _pick(in_slot.join(F.broadcast(middle_slot), "slot"), "value")
 
     # The upper middle is the next value when the lower one has no copy left.
     is_last_copy = F.col("target") + 1 == F.col("copies")
     mean = value * 0.5 + F.col("after") * 0.5
     result = F.when(F.col("even") & is_last_copy, mean).otherwise(value)
-    return middle.select(result.alias("median")).agg(F.max("median").alias("median"))
+    return middle.agg(F.max(result).alias("median"))
