@@ -90,6 +90,19 @@ def test_month_key(spark, duck):
     check(spark, duck, values, "string", month, f"strftime({TRY_DATE}, '%Y-%m')")
 
 
+def test_dates_do_not_depend_on_the_time_zone(spark):
+    days = ["2018-11-04", "0012-05-24", "1582-10-10", "1883-11-18", "9999-12-31"]
+    frame = spark.createDataFrame([(d,) for d in days], "x string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        # Midnight of 2018-11-04 does not exist there.
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        rows = frame.select(fn.canonical_date(fn.parse_timestamp(F.col("x")))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r[0] for r in rows] == ["-".join(reversed(d.split("-"))) for d in days]
+
+
 def test_parse_timestamp_type(spark):
     frame = spark.createDataFrame([(" 2024.05.01 ",)], "x string")
     out = frame.select(fn.parse_timestamp(F.col("x")).alias("t"))

@@ -9,12 +9,14 @@ from pyspark.sql import SparkSession
 GIB = 1024**3
 
 
-def shuffle_partitions(input_bytes: int, cores: int, bytes_per_task: int = GIB) -> int:
+def shuffle_partitions(input_bytes: int, cores: int, bytes_per_task: int = 2 * GIB) -> int:
     """Reduce tasks for an input: about ``bytes_per_task`` each, one per core at least.
 
     The clean table is the only large shuffle and carries about as much as the
-    input, so 100 TB make some 93,000 tasks. Adaptive execution merges the ones
-    that turn out small.
+    input, so 100 TB make some 47,000 tasks. Many more would cost the driver
+    more for the sizes of all blocks (maps times reducers) than the tasks gain;
+    aggregations larger than their memory spill. Adaptive execution merges the
+    tasks that turn out small.
     """
     return max(math.ceil(input_bytes / bytes_per_task), cores)
 
