@@ -20,6 +20,12 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 
 # Text that a worker looks at in one step; a longer text is a step of its own.
 STEP_BYTES = 4 << 20
+STEP_ROWS = 2048
+
+# White space beyond ASCII in UTF-8, by Unicode's White_Space property (fixed values).
+_WIDE_SPACES = [
+    c.encode() for c in map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -45,16 +51,18 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds at most STEP_BYTES of `column`, or one row."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, step_bytes: int = STEP_BYTES, step_rows: int = STEP_ROWS
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut to at most `step_rows` rows with `step_bytes` of `column`, or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, offsets = string_bytes(batch.column(column))
         start = 0
         while start < batch.num_rows:
-            stop = int(np.searchsorted(offsets, offsets[start] + STEP_BYTES, side="right")) - 1
-            stop = min(max(stop, start + 1), batch.num_rows)
+            stop = int(np.searchsorted(offsets, offsets[start] + step_bytes, side="right")) - 1
+            stop = min(max(stop, start + 1), start + step_rows, batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
 
@@ -106,6 +114,19 @@ def pieces_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers)
 
 
+def _white_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to a white-space character of Unicode."""
+    space = _SPACE[data]
+    leads = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    for code in _WIDE_SPACES:
+        at = leads[leads + len(code) <= len(data)]
+        for step, byte in enumerate(code):
+            at = at[data[at + step] == byte]
+        for step in range(len(code)):
+            space[at + step] = True
+    return space
+
+
 def pieces_between_spaces(array: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The texts cut before each single space that stands between two visible characters.
 
@@ -114,7 +135,7 @@ def pieces_between_spaces(array: pa.Array) -> tuple[pa.Array, np.ndarray]:
     (an empty text has none).
     """
     data, offsets = string_bytes(array)
-    space = _SPACE[data]
+    space = _white_space(data)
     cut = np.zeros(len(data), dtype=bool)
     if len(data) > 2:
         cut[1:-1] = (data[1:-1] == 0x20) & ~space[:-2] & ~space[2:]

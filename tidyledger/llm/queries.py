@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyledger.llm import exact_dedup, mixing, simhash
+from tidyledger.llm import (
+    exact_dedup,
+    language,
+    language_model,
+    mixing,
+    packing,
+    parsing,
+    quality,
+    secrets,
+    simhash,
+    token_counts,
+)
 from tidyledger.llm.common import checkpointed, word_count
+from tidyledger.llm.ngrams import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +34,20 @@ def op1_mix_sources(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_language_model(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory).select("doc_id", "text")
+    model = language_model.train(docs.filter(remainder("doc_id", 7) != 2))
+    return language_model.score(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 7) == 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.train_tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     digests = checkpointed(
         documents(spark, directory).select("doc_id", exact_dedup.text_digest().alias("text_sha256"))
@@ -36,12 +62,75 @@ def op4_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return simhash.simhash_near_duplicates(documents(spark, directory).select("doc_id", "text"))
 
 
+def op5_parsing_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
+    return parsing.fingerprint_with_next(documents(spark, directory).select("doc_id", "text"))
+
+
+def op6_packing(spark: SparkSession, directory: str) -> DataFrame:
+    return packing.pack(documents(spark, directory).select("doc_id", "text"))
+
+
+def quality_model(docs: DataFrame, directory: str) -> quality.QualityModel:
+    """Voters from the labels of the documents that are not held out."""
+    labels = docs.sparkSession.read.parquet(f"{directory}/labels.parquet")
+    return quality.fit(docs, labels.select("doc_id", "quality").filter(remainder("doc_id", 4) != 2))
+
+
+def op7_quality(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory).select("doc_id", "text")
+    return quality.score(docs, quality_model(docs, directory)).select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted"
+    )
+
+
+def op8_secret_scan(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory).select("doc_id", "text")
+    found = secrets.findings_of_paths(docs, secrets.scan_versions(docs))
+    findings = F.col("findings")
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(findings, kind).alias(f"n_{kind}") for kind in secrets.BASE],
+        F.sha2(secrets.listed_spans(findings, secrets.BASE), 256).alias("base_sha256"),
+        secrets.listed_spans(findings).alias("spans"),
+    )
+
+
+def op9_language(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory).select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(remainder("doc_id", 3) != 1))
+    return language.predict(docs, model).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op10_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, directory).select("doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "op1_mix_sources": op1_mix_sources,
-        "op3_exact_dedup": op3_exact_dedup,
-        "op4_simhash": op4_simhash,
-    }
+    found = (
+        op1_mix_sources,
+        op2_language_model,
+        op3_exact_dedup,
+        op4_simhash,
+        op5_parsing_fingerprints,
+        op6_packing,
+        op7_quality,
+        op8_secret_scan,
+        op9_language,
+        op10_token_counts,
+    )
+    return {query.__name__: query for query in found}
+
+
+def _spans(kind: str, pattern: str, least: str = "") -> str:
+    """SQL for the (start, end) pairs of a kind, from the text between the matches."""
+    pattern = pattern.replace("'", "''")
+    good = f"list_transform(regexp_extract_all(text, '{pattern}', {least}), lambda v: len(v) >= 6)" if least else "NULL"
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, unnest(range(1, len(m) + 1)) AS i, m, g, {good} AS good
+  FROM (SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS m,
+    string_split_regex(text, '{pattern}') AS g FROM docs) WHERE len(m) > 0"""
 
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -82,4 +171,27 @@ SELECT doc_id, text_sha256,
   count(*) OVER (PARTITION BY text_sha256) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY text_sha256) AS kept
 FROM marked""",
+    "op8_secret_scan": f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+matches AS ({" UNION ALL ".join(
+    _spans(rule.kind, rule.pattern, "2" if rule.group else "") for rule in secrets.RULES
+)}
+), spans AS (
+  SELECT doc_id, kind,
+    list_sum(list_transform(m[1:i], lambda x: len(x))) + list_sum(list_transform(g[1:i], lambda x: len(x))) AS e,
+    len(m[i]) AS n
+  FROM matches WHERE good IS NULL OR good[i]
+), listed AS (
+  SELECT doc_id, kind, CAST(e - n AS BIGINT) AS s, concat(kind, ':', CAST(e - n AS BIGINT), ':', CAST(e AS BIGINT)) AS span,
+    CASE kind {" ".join(f"WHEN '{rule.kind}' THEN {i}" for i, rule in enumerate(secrets.RULES))} END AS rank
+  FROM spans
+), found AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(span, ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg(span, ',' ORDER BY s, rank) AS spans
+  FROM listed GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN found USING (doc_id)""",
 }
