@@ -173,18 +173,18 @@ KPI = {
     "kpi_1": _kpi("kpi_1", "round(sum(order_amount_old) / count(order_amount_old), 2)", "gold"),
     "kpi_2": _kpi("kpi_2", "round(sum(order_amount_old - cost) / sum(order_amount_old), 6)", "gold"),
     "kpi_3": _kpi("kpi_3", "round(avg(is_return), 6)", "gold"),
-    "kpi_4": _kpi("kpi_4", "round(quantile_cont(order_amount_old, 0.5), 2)", "gold"),
+    "kpi_4": _kpi("kpi_4", "round(median(order_amount_old), 2)", "gold"),
     "kpi_5": _kpi("kpi_5", "round(avg(is_return), 6)", "gold GROUP BY payment_method", "payment_method"),
     "kpi_6": _kpi(
         "kpi_6",
-        "round(sum(order_amount_old) FILTER (WHERE customer_segment = 'premium' OR "
-        "customer_segment = 'platinum') / sum(order_amount_old), 6)",
+        "round(coalesce(sum(order_amount_old) FILTER (WHERE customer_segment = 'premium' OR "
+        "customer_segment = 'platinum'), 0) / sum(order_amount_old), 6)",
         "gold",
     ),
     "kpi_7": _kpi(
         "kpi_7",
         "round(count(*) FILTER (WHERE gross_margin < floor_margin OR "
-        "(at_floor AND gross_margin = floor_margin)) / count(*), 6)",
+        "(at_floor AND gross_margin = floor_margin)) / nullif(count(*), 0), 6)",
         "margins",
     ),
     "kpi_8": _kpi(
@@ -286,3 +286,7 @@ GROUP BY month_key, payment_method""",
     **{name: TO_KPI + sql for name, sql in KPI.items()},
     "kpi_results": TO_KPI + "\nUNION ALL ".join(KPI.values()),
 }
+
+# The same tables read through temporary views.
+ORACLE["clean_table_from_views"] = ORACLE["clean_table"]
+ORACLE["kpi_results_from_views"] = ORACLE["kpi_results"]

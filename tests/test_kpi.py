@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import statistics
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidyledger.operators import kpi
 from tidyledger.operators.median import exact_median
-from tidyledger.schema import GOLD_SCHEMA
+from tidyledger.schema import GOLD_SCHEMA, KPI_SCHEMA
 
 
 def gold_of(spark, *orders):
@@ -158,12 +159,44 @@ def test_median_treats_nan_as_largest_and_nothing_as_null(spark):
     assert exact_median(df.limit(0), "x").collect() == [(None,)]
 
 
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_kpi_table_reads_the_stored_clean_table_twice(spark, gold, tmp_path):
+    """Once for the roll-up, once for the amounts of the median."""
+    gold.write.parquet(str(tmp_path / "gold"))
+    plan = _plan(kpi.kpi_results(spark.read.parquet(str(tmp_path / "gold"))))
+    assert plan.count("FileScan") == 2
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
 def test_kpi_table_cleans_once(spark, gold, tmp_path):
-    """Every part of the KPI table reads the same shuffles."""
+    """Over a clean table that is not stored, the large shuffle is written once and read twice."""
     gold.write.parquet(str(tmp_path / "gold"))
     distinct = spark.read.parquet(str(tmp_path / "gold")).distinct()
-    result = kpi.kpi_results(distinct)
-    result.collect()
-    plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    plan = _plan(kpi.kpi_results(distinct))
     assert plan.count("FileScan") == 1
-    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert len(re.findall(r"HashAggregate\(keys=\[row_id#\d+L?, date", plan)) <= 3
+
+
+def test_schema(gold):
+    for build in (*kpi.KPIS.values(), kpi.kpi_results):
+        assert build(gold).dtypes == [(f.name, f.dataType.simpleString()) for f in KPI_SCHEMA]
+
+
+def test_no_high_value_and_no_known_tier(spark):
+    gold = gold_of(spark, ("01-01-2024", "gold", 10, 1, 0, "card"), ("01-01-2024", None, 10, 1, 0, "card"))
+    assert values(kpi.kpi_6(gold)) == [("0.0", None)]
+    assert values(kpi.kpi_7(gold)) == [(None, None)]
+    together = {r.kpi_name: r.kpi_value for r in kpi.kpi_results(gold).collect()}
+    assert (together["kpi_6"], together["kpi_7"]) == ("0.0", None)
+
+
+def test_division_by_zero_is_infinite_or_nan(spark):
+    """With rules that let an amount of zero pass."""
+    gold = gold_of(spark, ("01-01-2024", "standard", 0, 5, 0, "card"))
+    assert values(kpi.kpi_2(gold)) == [("-inf", None)]
+    assert values(kpi.kpi_6(gold)) == [("nan", None)]
+    assert values(kpi.kpi_7(gold)) == [("1.0", None)]

@@ -125,6 +125,19 @@ def test_numeric_raw_columns(spark):
     assert (row.order_amount_old, row.cost, row.is_return, row.hour_of_day) == (5.0, 1.5, 1, 22)
 
 
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])
+def test_typed_dates_keep_their_rows(spark, raw, kind):
+    typed = raw.filter("row_id = 2").withColumn("date", F.lit("2024-05-01").cast(kind))
+    assert [(r.row_id, r.date) for r in layers.clean(typed).collect()] == [(2, "01-05-2024")]
+
+
+def test_types_that_cannot_be_read_are_refused(raw):
+    with pytest.raises(ValueError, match="date has the type bigint"):
+        layers.silver_parsed(raw.withColumn("date", F.lit(20240501).cast("long")))
+    with pytest.raises(ValueError, match="row_id has the type double"):
+        layers.silver_parsed(raw.withColumn("row_id", F.lit(1.5)))
+
+
 def test_missing_column_is_named(raw):
     with pytest.raises(ValueError, match="hour_of_day"):
         layers.silver_parsed(raw.drop("hour_of_day"))

@@ -9,6 +9,7 @@ from pyspark.sql.types import (
     DecimalType,
     DoubleType,
     FloatType,
+    IntegralType,
     StringType,
 )
 
@@ -77,6 +78,13 @@ def to_integer(value: Column, source: DataType = StringType()) -> Column:
     )
 
 
+def to_key(value: Column, source: DataType = StringType()) -> Column:
+    """BIGINT from a whole number or its text, else NULL."""
+    if isinstance(source, (IntegralType, StringType)):
+        return value.try_cast("bigint")
+    raise ValueError(f"the column row_id has the type {source.simpleString()}, not a whole number")
+
+
 def binary_flag(value: Column) -> Column:
     """0 and 1 as they are, anything else NULL."""
     return F.when(value.isin(0, 1), value)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
 
 # White space that may surround a date or a number (fixed values): tab, line
 # feed, vertical tab, form feed, carriage return, space. No-break and other
@@ -41,9 +42,17 @@ def parse_date(text: Column) -> Column:
     )
 
 
-def parse_timestamp(text: Column) -> Column:
-    """``parse_date`` as a TIMESTAMP without time zone (midnight)."""
-    return parse_date(text).cast("timestamp_ntz")
+def parse_timestamp(value: Column, source: DataType = StringType()) -> Column:
+    """The day as a TIMESTAMP without time zone (midnight), from text or a date type.
+
+    A ``source`` that is neither text nor a date nor a timestamp is an error: its
+    text would match no format and every order would be dropped.
+    """
+    if isinstance(source, (DateType, TimestampType, TimestampNTZType)):
+        return value.cast("date").cast("timestamp_ntz")
+    if not isinstance(source, StringType):
+        raise ValueError(f"the column date has the type {source.simpleString()}, not text or a date")
+    return parse_date(value).cast("timestamp_ntz")
 
 
 def canonical_date(moment: Column) -> Column:

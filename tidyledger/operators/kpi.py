@@ -42,6 +42,10 @@ RATIOS = {
 }
 
 
+# Measures that count orders.
+COUNTS = ("orders", "priced_orders", "tiered_orders")
+
+
 # Margins
 
 
@@ -131,7 +135,10 @@ def _kpi_row(df: DataFrame, name: str, value: Column, key: Column | None = None)
 
 def _ratio_value(name: str) -> Column:
     numerator, denominator, digits = RATIOS[name]
-    return report_value(ratio(F.col(numerator), F.col(denominator)), digits)
+    below = F.col(denominator)
+    if denominator in COUNTS:
+        below = F.nullif(below, F.lit(0))  # over no orders there is no value
+    return report_value(ratio(F.col(numerator), below), digits)
 
 
 def _ratio_kpi(gold: DataFrame, name: str) -> DataFrame:
@@ -294,9 +301,11 @@ def kpi_results(gold: DataFrame) -> DataFrame:
     """All KPIs in one table, in two passes over the clean table.
 
     One pass makes the roll-up that every KPI but the median comes from, the
-    other counts equal amounts for the median.
+    other counts equal amounts for the median. The fence keeps the roll-up the
+    same for all who read it: pruned for each of them it would be computed for
+    each of them.
     """
-    summary = order_summary(gold)
+    summary = compute_once(order_summary(gold), ("month_key", "payment_method", *ALL_MEASURES))
     methods = summary.groupBy("payment_method").agg(*_sums(("returns", "orders")))
     monthly = summary.groupBy("month_key").agg(*_sums(("gmv",)))
     counts = summary.select("month_key", "payment_method", F.col("orders").alias("n"))

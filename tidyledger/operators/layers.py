@@ -17,9 +17,10 @@ from tidyledger.functions import (
     parse_timestamp,
     to_double,
     to_integer,
+    to_key,
 )
 from tidyledger.operators.fence import compute_once
-from tidyledger.operators.rules import ORDER_RULES, RULE_COLUMNS, Rule, passes_all
+from tidyledger.operators.rules import ORDER_RULES, Rule, columns_needed, columns_read, passes_all
 from tidyledger.schema import BUSINESS_KEY, GOLD_COLUMNS, RAW_COLUMNS, require_columns
 
 
@@ -31,8 +32,8 @@ def silver_parsed(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     require_columns(raw, RAW_COLUMNS, "the raw table")
     types = {field.name: field.dataType for field in raw.schema}
     return raw.select(
-        "row_id",
-        parse_timestamp(F.col("date")).alias("parsed_dt"),
+        to_key(F.col("row_id"), types["row_id"]).alias("row_id"),
+        parse_timestamp(F.col("date"), types["date"]).alias("parsed_dt"),
         clean_text(F.col("customer_segment")).alias("customer_segment_raw"),
         to_double(F.col("order_amount_old"), types["order_amount_old"]).alias("order_amount_old"),
         to_double(F.col("cost"), types["cost"]).alias("cost"),
@@ -65,9 +66,21 @@ def normalised_beside_raw(raw: DataFrame) -> DataFrame:
     return silver_normalised(silver_parsed(beside, ("raw",)), ("raw",))
 
 
+def fenced(normalised: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -> DataFrame:
+    """The same rows, with what the rules read computed once, and the segment too.
+
+    The segment has a fence of its own: a count that needs the rules alone then
+    does not compute it.
+    """
+    read = columns_read(rules, normalised.columns)
+    if "customer_segment" not in read:
+        normalised = compute_once(normalised, ("customer_segment",))
+    return compute_once(normalised, read) if read else normalised
+
+
 def silver_filtered(normalised: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -> DataFrame:
     """The rows that every rule keeps."""
-    return compute_once(normalised, RULE_COLUMNS).filter(passes_all(rules))
+    return fenced(normalised, rules).filter(passes_all(rules))
 
 
 def _order_columns(filtered: DataFrame) -> DataFrame:
@@ -96,7 +109,12 @@ def copies_per_order(filtered: DataFrame) -> DataFrame:
 
 
 def clean(raw: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -> DataFrame:
-    """All layers from the raw to the clean table."""
+    """All layers from the raw to the clean table.
+
+    Rows in which a needed column is NULL are left out at the scan already.
+    """
+    for name in columns_needed(rules):
+        raw = raw.filter(F.col(name).isNotNull())
     return clean_table(silver_filtered(silver_normalised(silver_parsed(raw)), rules))
 
 

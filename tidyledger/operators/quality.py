@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidyledger.operators.fence import compute_once
 from tidyledger.operators.layers import (
     clean_table,
     copies_per_order,
+    fenced,
     normalised_beside_raw,
-    silver_filtered,
     silver_normalised,
     silver_parsed,
 )
 from tidyledger.operators.rules import ORDER_RULES, Rule, passes_all, violations
-from tidyledger.schema import AUDITED_COLUMNS
+from tidyledger.schema import AUDITED_COLUMNS, GOLD_COLUMNS, MALFORMED, RAW_COLUMNS
 
 
 def _row_count(name: str) -> Column:
@@ -101,35 +102,81 @@ def duplicate_rows(filtered: DataFrame) -> DataFrame:
 
 
 def stage_row_counts(raw: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -> DataFrame:
-    """Rows per layer: (stage_no, stage, row_count).
+    """Rows per layer: (stage_no, stage, row_count), in one scan and one shuffle.
 
-    The first three layers keep every row; counting them reads no column. The
-    last two come from one shuffle, as the copies of all orders and their
-    number.
+    The first three layers keep every row. Rows that a rule drops are counted
+    together, without their columns, so that they do not travel one by one.
     """
-    parsed = silver_parsed(raw)
-    normalised = silver_normalised(parsed)
-    stages = [(1, "raw", raw), (2, "parsed", parsed), (3, "normalised", normalised)]
-    whole = [
-        df.agg(_row_count("row_count")).select(
-            F.lit(number).alias("stage_no"), F.lit(name).alias("stage"), "row_count"
-        )
-        for number, name, df in stages
-    ]
-    orders = copies_per_order(silver_filtered(normalised, rules))
-    kept = orders.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("filtered"), _row_count("final")
-    ).selectExpr("stack(2, 4, 'filtered', filtered, 5, 'final', final) AS (stage_no, stage, row_count)")
-    return whole[0].unionByName(whole[1]).unionByName(whole[2]).unionByName(kept)
+    kept = F.coalesce(passes_all(rules), F.lit(False))
+    marked = fenced(silver_normalised(silver_parsed(raw)), rules).withColumn("kept", kept)
+    marked = compute_once(marked, ("kept",))
+    day = F.col("parsed_dt").cast("date").alias("date")
+    columns = [day if name == "date" else F.col(name) for name in GOLD_COLUMNS]
+    groups = marked.select("kept", *[F.when(F.col("kept"), c).alias(n) for n, c in zip(GOLD_COLUMNS, columns)])
+    counts = groups.groupBy("kept", *GOLD_COLUMNS).agg(_row_count("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.when(F.col("kept"), F.col("n"))), F.lit(0)).alias("filtered"),
+        F.count(F.when(F.col("kept"), 1)).alias("final"),
+    )
+    return counts.selectExpr(
+        "stack(5, 1, 'raw', total, 2, 'parsed', total, 3, 'normalised', total,"
+        " 4, 'filtered', filtered, 5, 'final', final) AS (stage_no, stage, row_count)"
+    )
 
 
-def quality_summary(raw: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -> DataFrame:
-    """NULL audit, parse health, rule impact and kept rows as one row, in one scan."""
-    kept = F.when(passes_all(rules), 1).otherwise(0)
-    return normalised_beside_raw(raw).agg(
+def _summary_counts(rules: tuple[Rule, ...]) -> list[Column]:
+    return [
         _row_count("total_rows"),
         *_null_counts(AUDITED_COLUMNS, "raw."),
         _date_failures(),
         *violations(rules),
-        F.sum(kept).alias("kept_after_filter"),
-    )
+        F.sum(F.when(passes_all(rules), 1).otherwise(0)).alias("kept_after_filter"),
+    ]
+
+
+def quality_summary(raw: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -> DataFrame:
+    """NULL audit, parse health, rule impact and kept rows as one row, in one scan."""
+    return normalised_beside_raw(raw).agg(*_summary_counts(rules))
+
+
+# The columns by which the profile is grouped.
+_PROFILE_KEYS = ("raw_segment", "customer_segment", "payment_method")
+
+
+def profile(raw: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -> DataFrame:
+    """The counts of ``quality_summary`` by raw and corrected segment and payment method.
+
+    One scan, from which the reports below are sums.
+    """
+    rows = normalised_beside_raw(raw).withColumn("raw_segment", F.col("raw.customer_segment"))
+    return rows.groupBy(*_PROFILE_KEYS).agg(*_summary_counts(rules))
+
+
+def summary_of(profiled: DataFrame) -> DataFrame:
+    """``quality_summary`` from a profile."""
+    names = [name for name in profiled.columns if name not in _PROFILE_KEYS]
+    first = F.coalesce(F.sum("total_rows"), F.lit(0)).alias("total_rows")
+    return profiled.agg(first, *[F.sum(name).alias(name) for name in names if name != "total_rows"])
+
+
+def segment_mapping_of(profiled: DataFrame) -> DataFrame:
+    """``segment_mapping_profile`` from a profile."""
+    keys = ("raw_segment", "customer_segment")
+    counts = profiled.groupBy(*keys).agg(F.sum("total_rows").alias("nbr_rows"))
+    return counts.orderBy(F.col("nbr_rows").desc(), *[F.col(name).asc_nulls_last() for name in keys])
+
+
+def payment_methods_of(profiled: DataFrame) -> DataFrame:
+    """``payment_profile`` from a profile."""
+    counts = profiled.groupBy("payment_method").agg(F.sum("total_rows").alias("nbr_methods"))
+    return counts.orderBy(F.col("nbr_methods").desc(), F.col("payment_method").asc_nulls_last())
+
+
+def malformed_lines(raw: DataFrame) -> DataFrame:
+    """One row: how many lines of the files could not be read whole; 0 for other sources."""
+    if MALFORMED not in raw.columns:
+        return raw.agg(F.lit(0).cast("long").alias("malformed_lines"))
+    # A reader only notices what is wrong with the columns that it is asked for.
+    every = F.coalesce(*[F.col(name).cast("string") for name in RAW_COLUMNS], F.lit(""))
+    bad = F.when(F.col(MALFORMED).isNotNull(), every)
+    return raw.agg(F.count(bad).alias("malformed_lines"))

@@ -3,29 +3,32 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyledger.operators import kpi, layers, quality
 from tidyledger.operators.rules import ORDER_RULES, Rule
-from tidyledger.sources.writers import replace_files
+from tidyledger.plans.session import size_session
+from tidyledger.sources.writers import replace_table, write_files
 
 
 @dataclass(frozen=True)
 class Tables:
-    """The written tables, each read back from its files."""
+    """The written tables, each read back; ``folder`` is None for catalog tables."""
 
     clean_table: DataFrame
     kpi_results: DataFrame
     quality_summary: DataFrame
     segment_mapping: DataFrame
     payment_methods: DataFrame
+    folder: str | None = None
 
 
-def shared_folder(spark: SparkSession, unset: str | None = None) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, as the cluster names it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or unset
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         raise ValueError("spark.checkpoint.dir is not set; name a shared folder for the tables")
     return folder
@@ -36,25 +39,39 @@ def run(
     raw: DataFrame,
     target: str | None = None,
     rules: tuple[Rule, ...] = ORDER_RULES,
+    database: str | None = None,
+    input_bytes: int | None = None,
 ) -> Tables:
-    """Write every table below ``target``, by default below the shared folder.
+    """Write every table into a new folder below ``target``, or into ``database``.
 
-    The clean table is written once, and the KPIs read its files: column by
-    column, and without cleaning again when an executor is lost. The quality
-    reports scan the raw table once for all counts and once per profile.
+    Without ``target`` the folder lies below the shared one. No earlier run is
+    touched, whatever happens to this one. With ``database`` the tables become
+    catalog tables, each created or replaced.
+
+    The raw table is scanned twice: for the clean table and for the quality
+    profile, of which the reports are sums. The KPIs read the clean table as
+    written: column by column, and without cleaning again when an executor is
+    lost. ``input_bytes``, if known, sets the session's shuffle and scan sizes.
     """
-    base = (target or shared_folder(spark)).rstrip("/")
+    if input_bytes is not None:
+        size_session(spark, input_bytes)
+    folder = None
+    if database is None:
+        folder = f"{(target or shared_folder(spark)).rstrip('/')}/run-{uuid4().hex}"
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        return replace_files(df, f"{base}/{name}")
+        return replace_table(df, f"{database}.{name}") if folder is None else write_files(df, f"{folder}/{name}")
 
     gold = write("clean_table", layers.clean(raw, rules))
+    results = write("kpi_results", kpi.kpi_results(gold))
+    profile = write("quality_profile", quality.profile(raw, rules))
     return Tables(
         clean_table=gold,
-        kpi_results=write("kpi_results", kpi.kpi_results(gold)),
-        quality_summary=write("quality_summary", quality.quality_summary(raw, rules)),
-        segment_mapping=write("segment_mapping", quality.segment_mapping_profile(raw)),
-        payment_methods=write("payment_methods", quality.payment_profile(raw)),
+        kpi_results=results,
+        quality_summary=write("quality_summary", quality.summary_of(profile)),
+        segment_mapping=write("segment_mapping", quality.segment_mapping_of(profile)),
+        payment_methods=write("payment_methods", quality.payment_methods_of(profile)),
+        folder=folder,
     )
 
 

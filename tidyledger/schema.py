@@ -33,9 +33,8 @@ GOLD_COLUMNS = RAW_COLUMNS
 # What makes an order the same order, whatever key it was loaded under.
 BUSINESS_KEY = GOLD_COLUMNS[1:]
 
-# Text files carry everything as text. row_id too: nothing ever casts it, so a
-# key that is not a number must not be lost on the way in.
-RAW_SCHEMA = StructType([StructField(name, StringType()) for name in RAW_COLUMNS])
+# The text of a line of a file that could not be read whole; NULL for good lines.
+MALFORMED = "malformed_line"
 
 PARSED_SCHEMA = StructType(
     [

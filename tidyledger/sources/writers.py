@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def replace_files(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to ``path``, in place of what is there, and read it back.
+def write_files(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to the new folder ``path`` and read it back.
 
     The result starts from the files, so later work neither repeats what led to
-    them nor depends on the executors that wrote them. ``df`` must not read
-    from ``path``.
+    them nor depends on the executors that wrote them. A folder with files is
+    never overwritten: a run that fails leaves all earlier tables whole.
     """
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
