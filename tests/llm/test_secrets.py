@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from tidyledger.llm import secrets
+
+PATTERNS = {
+    "assign": (r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I, 6),
+    "access": (r"AKIA[A-Z0-9]+", 0, 20),
+    "hex": (r"[0-9a-f]+", 0, 24),
+}
+
+
+def brute(text: str) -> list[tuple]:
+    found = []
+    for rank, (kind, (pattern, flags, least)) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text, flags | re.A):
+            if len(m.group(m.re.groups)) >= least:
+                found.append((m.start(), rank, m.end(), kind))
+    return sorted(found)
+
+
+def test_against_brute_force(spark):
+    draw = random.Random(8)
+    parts = [
+        "password", "PassWD", "secret", "token", "api_key", "APIKEY", '"', "'", " ", ":", "=", "abc", "hunter2.x",
+        "AKIA", "ABCDEFGHIJ", "0123456789", "deadbeefcafe", "é😀", "\n", "x", "token=secret:", "AKIAAKIA",
+    ]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 25))) for _ in range(400)]
+    texts += ["a1" * 3000, " ".join(["0123456789abcdef01234567"] * 500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ledger = secrets.scan_versions(df)
+    found = secrets.findings_of_paths(df, ledger).select("doc_id", "findings").collect()
+    for r in found:
+        got = [tuple(f) for f in r.findings if f.kind in PATTERNS]
+        assert got == brute(texts[r.doc_id])
+
+
+def test_only_unseen_pairs_are_scanned(spark):
+    first = spark.createDataFrame(
+        [("a.py", 1, "token=abcdef1"), ("a.py", 2, "clean"), ("b.py", 1, "token=abcdef1")],
+        "path string, version int, text string",
+    )
+    ledger = secrets.scan_versions(first).cache()
+    assert ledger.count() == 2
+    second = first.unionByName(
+        spark.createDataFrame([("c.py", 1, "token=abcdef1"), ("a.py", 3, "secret: 123456")], first.schema)
+    )
+    added = secrets.scan_versions(second, ledger)
+    assert added.count() == 1
+    assert secrets.scan_versions(second, ledger, rule_version="2").count() == 3
+    paths = secrets.findings_of_paths(second, ledger.unionByName(added))
+    found = {(r.path, r.version): r.spans for r in paths.withColumn(
+        "spans", secrets.listed_spans(F.col("findings"))).collect()}
+    assert found == {
+        ("a.py", 1): "assign:0:13",
+        ("a.py", 2): "",
+        ("b.py", 1): "assign:0:13",
+        ("c.py", 1): "assign:0:13",
+        ("a.py", 3): "assign:0:14",
+    }
+
+
+def test_no_python_on_the_way(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    plan = secrets.findings_of_paths(df, secrets.scan_versions(df))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+
+from tidyledger.llm import simhash
+from tidyledger.llm.graph import components
+
+
+def brute_fingerprint(text: str | None, size: int = 4) -> int:
+    lower = (text or "").translate({i: i + 32 for i in range(65, 91)})
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_roots(fps: list[int], max_bits: int) -> list[int]:
+    root = list(range(len(fps)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(fps):
+        for j in range(i):
+            if (a ^ fps[j]).bit_count() <= max_bits:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(fps))]
+
+
+def test_fingerprints_of_odd_texts():
+    draw = random.Random(5)
+    alphabet = list(" \t\n\x0b\x0c\r\x1cABab é ") + [" the", " of"]
+    texts = ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, 40))) for _ in range(500)] + [None, "", "a"]
+    got = simhash.simhash_batch(pa.array(texts, pa.string()))
+    assert got.tolist() == [brute_fingerprint(t) for t in texts]
+
+
+def test_parts_share_a_cell():
+    """Fingerprints within the bit limit share a cell, for several limits."""
+    draw = np.random.default_rng(1)
+    for max_bits in (0, 1, 2, 3, 4, 5, 7):
+        a = draw.integers(0, 2**63, 60, dtype=np.uint64)
+        b = a.copy()
+        for i in range(len(b)):
+            for bit in draw.choice(64, max_bits, replace=False):
+                b[i] ^= np.uint64(1) << np.uint64(bit)
+
+        def by_row(fps):
+            found = [set() for _ in fps]
+            for cell, at in simhash.cells_of(fps, max_bits):
+                for c, i in zip(cell.tolist(), at.tolist()):
+                    found[i].add(c)
+            return found
+
+        assert all(x & y for x, y in zip(by_row(a), by_row(b)))
+
+
+def _check_links(spark, fps: list[int], cell_limit: int):
+    fps = sorted(set(fps))
+    frame = spark.createDataFrame([(f - 2**64 if f >= 2**63 else f,) for f in fps], "fp long").repartition(4)
+    roots = {r.node: r.root for r in components(simhash.links(frame, 4, cell_limit)).collect()}
+    signed = [f - 2**64 if f >= 2**63 else f for f in fps]
+    groups: dict = {}
+    for f in signed:
+        groups.setdefault(roots.get(f, f), set()).add(f)
+    wanted: dict = {}
+    for f, r in zip(signed, brute_roots(fps, 4)):
+        wanted.setdefault(r, set()).add(f)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
+
+
+def test_links_against_brute_force(spark):
+    draw = random.Random(2)
+    fps = []
+    for _ in range(60):  # chains whose ends are far apart, and single ones
+        f = draw.getrandbits(64)
+        for _ in range(draw.choice([1, 1, 5, 12])):
+            fps.append(f)
+            for _ in range(draw.randint(1, 5)):
+                f ^= 1 << draw.randrange(64)
+    _check_links(spark, fps, simhash.CELL_LIMIT)
+
+
+def test_crowded_cells_are_split_without_loss(spark):
+    """A cluster far above the cell limit has the same components."""
+    draw = random.Random(3)
+    centre = draw.getrandbits(64)
+    fps = [centre ^ (1 << draw.randrange(64)) ^ (1 << draw.randrange(64)) for _ in range(400)]
+    fps += [draw.getrandbits(64) for _ in range(100)]
+    _check_links(spark, fps, cell_limit=16)
+
+
+def test_query_against_brute_force(spark, sample, corpus):
+    from tidyledger.llm.queries import queries
+
+    found = {r.doc_id: r for r in queries()["op4_simhash"](spark, sample).collect()}
+    ids = sorted(corpus)
+    fps = [brute_fingerprint(corpus[d].text) for d in ids]
+    assert [found[d].fingerprint for d in ids] == [f"{f:016x}" for f in fps]
+    assert [found[d].component_id for d in ids] == [ids[r] for r in brute_roots(fps, 4)]
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 400), (300, 300)], "a long, b long")
+    found = {r.node: r.root for r in components(edges).collect()}
+    assert found == {**{i: 0 for i in range(201)}, 400: 400, 500: 400}
+    assert components(edges.filter("false")).count() == 0

@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from tokenizers import Tokenizer, models
+
+from tidyledger.llm.token_counts import SPACE, Segmenter, load_pieces
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return load_pieces()
+
+
+@pytest.fixture(scope="module")
+def library(pieces):
+    """The segmentation of another library with the same pieces and scores."""
+    least = min(pieces.values())
+    tokenizer = Tokenizer(models.Unigram([("<unk>", least), *pieces.items()], 0, False))
+
+    def count(text: str) -> int:
+        return sum(1 if t in pieces else len(t.encode()) for t in tokenizer.encode(text).tokens)
+
+    return count
+
+
+def _words(n: int) -> list[str]:
+    draw = random.Random(12)
+    parts = ["the", "ing", "er", "tion", "é", "ß", "日", "😀", "\n", SPACE, "x", "Q", "1", "...", "internationalization"]
+    return list({SPACE + "".join(draw.choice(parts) for _ in range(draw.randint(0, 12))) for _ in range(n)})
+
+
+def test_trie_and_single_agree_with_the_library(pieces, library):
+    segmenter, words = Segmenter(pieces), _words(3000)
+    counts = segmenter.many(words).tolist()
+    assert counts == [segmenter.one(w) for w in words] == [library(w) for w in words]
+
+
+def test_prefixes_and_long_words(pieces):
+    segmenter = Segmenter(pieces)
+    words = [SPACE + "internationalization"[:n] for n in range(21)] + ["ab" * 400, "日" * 60]
+    assert segmenter.many(words).tolist() == [segmenter.one(w) for w in words]
+    assert segmenter.many([]).tolist() == []
+
+
+def test_query_counts_whole_texts(spark, sample, corpus, pieces, library):
+    from tidyledger.llm.queries import queries
+
+    found = {r.doc_id: r for r in queries()["op10_token_counts"](spark, sample).collect()}
+    assert set(found) == set(corpus)
+    for doc_id in sorted(corpus)[:60]:
+        text = corpus[doc_id].text or ""
+        assert found[doc_id].n_chars == len(text)
+        # The best segmentation of the whole text, not cut in pre-tokens.
+        assert found[doc_id].n_tokens == (library(SPACE + text.replace(" ", SPACE)) if text else 0)
