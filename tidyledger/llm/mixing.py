@@ -80,11 +80,12 @@ def find_cut(queued: DataFrame, sources: DataFrame, share: float, passes: int) -
 
     Finish times are sorted by range; each partition gives one row of totals, and
     only the partition in which the budget is reached is summed row by row. One
-    number comes to the driver. Without words the time is 0.
+    row of each and the totals come to the driver. Without words the time is 0.
     """
     start = F.col("pass") * F.col("source_size") + F.col("before")
     finish = (start + F.col("size")) / F.col("weight")
-    copies = queued.select(
+    # Of texts without words, which may be many at one time, nothing is ever served.
+    copies = queued.filter("size > 0").select(
         "size", "source_size", "weight", "before", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("pass")
     ).select(finish.alias("finish"), F.lit(0).cast("long").alias("ended"), F.lit(0).cast("long").alias("idle"))
     # A source that runs dry: from then on its words stay and its weight is gone.
@@ -94,10 +95,10 @@ def find_cut(queued: DataFrame, sources: DataFrame, share: float, passes: int) -
         ended.cast("long").alias("ended"),
         F.col("weight").cast("long").alias("idle"),
     )
-    total = sources.agg(
-        F.coalesce(F.sum("source_size"), F.lit(0)).alias("words"),
-        F.coalesce(F.sum("weight"), F.lit(0)).cast("long").alias("weights"),
-    ).withColumn("budget", F.col("words") * F.lit(float(share)))
+    words, weights = sources.agg(
+        F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0)).cast("long")
+    ).first()
+    budget = F.lit(float(words) * float(share))
 
     line = checkpointed(copies.unionByName(dry).repartitionByRange("finish").sortWithinPartitions("finish"))
     line = line.withColumn("place", F.spark_partition_id())
@@ -107,22 +108,20 @@ def find_cut(queued: DataFrame, sources: DataFrame, share: float, passes: int) -
         .agg(F.max("finish").alias("finish"), F.sum("ended").alias("ended"), F.sum("idle").alias("idle"))
         .withColumn("ended_before", F.coalesce(F.sum("ended").over(upto), F.lit(0)))
         .withColumn("idle_before", F.coalesce(F.sum("idle").over(upto), F.lit(0)))
-        .crossJoin(F.broadcast(total))  # one row
         .withColumn("all_ended", F.col("ended_before") + F.col("ended"))
-        .withColumn("active", F.col("weights") - F.col("idle_before") - F.col("idle"))
+        .withColumn("active", F.lit(weights) - F.col("idle_before") - F.col("idle"))
     )
-    reached = F.col("all_ended") + F.col("active") * F.col("finish") >= F.col("budget")
+    reached = F.col("all_ended") + F.col("active") * F.col("finish") >= budget
     at = places.filter(reached).orderBy("place").limit(1)
-    found = at.select("place", "ended_before", "idle_before", "weights", "budget").first()
+    found = at.select("place", "ended_before", "idle_before").first()
     if found is None:  # more is asked for than there is: everything is taken
         return float(line.agg(F.max("finish")).first()[0] or 0.0)
     rows = line.filter(F.col("place") == found["place"])
     so_far = Window.orderBy("finish", "idle").rowsBetween(Window.unboundedPreceding, -1)
-    active = F.lit(found["weights"] - found["idle_before"]) - F.coalesce(F.sum("idle").over(so_far), F.lit(0))
-    words = F.lit(found["ended_before"]) + F.coalesce(F.sum("ended").over(so_far), F.lit(0))
-    budget = F.lit(found["budget"])
+    active = F.lit(weights - found["idle_before"]) - F.coalesce(F.sum("idle").over(so_far), F.lit(0))
+    served = F.lit(found["ended_before"]) + F.coalesce(F.sum("ended").over(so_far), F.lit(0))
     first = (
-        rows.select("finish", active.alias("active"), words.alias("words"))
+        rows.select("finish", active.alias("active"), served.alias("words"))
         .filter(F.col("words") + F.col("active") * F.col("finish") >= budget)
         .orderBy("finish")
         .limit(1)
