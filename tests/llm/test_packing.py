@@ -8,21 +8,23 @@ import public_tokenizers
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from tidyledger.llm.packing import Packer, PieceEncoder
+from tidyledger.llm.packing import Encoder, Packer
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def test_pieces_have_the_ids_of_the_text():
+def test_ids_are_those_of_the_file():
     draw = random.Random(1)
     alphabet = list(" \n\t.,'ab s t é  　\x85\x1c😀1Z") + [" the", "'s", "<|endoftext|>"]
     texts = ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, 60))) for _ in range(3000)] + ["", None]
-    encoder = PieceEncoder(VOCABULARY)
-    for _ in range(2):  # the second time from memory
-        flat, first = encoder.encode(pa.array(texts, pa.string()))
-        for i, text in enumerate(texts):
-            wanted = encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
-            assert flat[first[i] : first[i + 1]].tolist() == wanted
+    encoder, tokenizer = Encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    tokenizer.encode_special_tokens = True
+    texts += [f"a{chr(c)} b{chr(c)}{chr(c)} {chr(c)}1" for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    texts += [c * 20_000 for c in "x \n"]
+    flat, first = encoder.encode(pa.array(texts, pa.string()))
+    wanted = tokenizer.encode_batch([text or "" for text in texts], add_special_tokens=False)
+    for i, found in enumerate(wanted):
+        assert flat[first[i] : first[i + 1]].tolist() == found.ids
 
 
 def _check(lengths: list[int], packer: Packer) -> list[int]:

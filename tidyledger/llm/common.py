@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +19,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 # Text that a worker looks at in one step; a longer text is a step of its own.
-STEP_BYTES = 4 << 20
-STEP_ROWS = 2048
+STEP_BYTES = 1 << 20
+STEP_ROWS = 1024
+# Rows that Spark hands to a worker at once, if the session has Spark's default of
+# ten times as many: texts may be long, and a batch is held in memory whole.
+BATCH_ROWS = 1000
 
 # White space beyond ASCII in UTF-8, by Unicode's White_Space property (fixed values).
 _WIDE_SPACES = [
@@ -41,6 +44,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """`df.mapInArrow`, with batches small enough for long texts.
+
+    A size of batches that the session sets itself is left alone.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(setting) == "10000":
+        df.sparkSession.conf.set(setting, str(BATCH_ROWS))
+    return df.mapInArrow(function, schema)
+
+
 def text_of(name: str = "text") -> Column:
     """The column with null as empty text."""
     return F.coalesce(F.col(name), F.lit(""))

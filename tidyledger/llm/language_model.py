@@ -24,13 +24,13 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyledger.llm.common import Words, checkpointed, pieces_array, slices
+from tidyledger.llm.common import Words, arrow_map, checkpointed, pieces_array, slices
 from tidyledger.llm.ngrams import uniform
 
 END = np.uint64(1)
 START = np.uint64(2)
-STEP = 12 << 20  # bytes of text whose pairs are merged at once
-BUCKET_CHARS = 24_000_000  # characters of the corpus for each bucket
+STEP = 6 << 20  # bytes of text whose pairs are merged at once
+BUCKET_CHARS = 8_000_000  # characters of the corpus for each bucket
 _FREQUENT = 0.002  # share of the words from which a word is spread over the buckets
 _LOOKED_AT = 400  # texts in which the frequent words are looked for
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -121,7 +121,7 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], kinds: list) -> Iterator[tuple
                 yield joined()
                 parts = []
             now = bucket
-            parts.append([column[row].as_py() for column in columns])
+            parts.append([column[row].as_buffer() for column in columns])
     if parts:
         yield joined()
 
@@ -255,13 +255,13 @@ def train(df: DataFrame, text_column: str = "text", id_column: str = "doc_id") -
             yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.int64()))], ["totals"])
 
     blobs = ", ".join(f"a{i} binary" for i in range(3))
-    counted = rows.mapInArrow(count, f"bucket int, {blobs}")
+    counted = arrow_map(rows, count, f"bucket int, {blobs}")
     gathered = counted.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     blobs = ", ".join(f"a{i} binary" for i in range(6))
-    per_word = checkpointed(gathered.mapInArrow(pairs, f"bucket int, {blobs}, totals array<bigint>"))
+    per_word = checkpointed(arrow_map(gathered, pairs, f"bucket int, {blobs}, totals array<bigint>"))
     pair_totals = _sum_arrays(per_word.filter("totals is not null"), 4)
     parts = per_word.drop("totals").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    total = _sum_arrays(checkpointed(parts.mapInArrow(words, "totals array<bigint>")), 8)
+    total = _sum_arrays(checkpointed(arrow_map(parts, words, "totals array<bigint>")), 8)
     return Model(
         folder, buckets, frequent, total[0], total[1], total[2],
         discounts(pair_totals), discounts(total[4:]), [total[4], total[5], total[3]],
@@ -290,7 +290,7 @@ def _frequent_words(rows: DataFrame, number: int) -> np.ndarray:
             )
 
     glance = rows.filter(uniform("_id") * max(number, 1) < _LOOKED_AT)
-    found = glance.mapInArrow(look, "word long, n long, of long").groupBy("word").agg(
+    found = arrow_map(glance, look, "word long, n long, of long").groupBy("word").agg(
         F.sum("n").alias("n"), F.sum("of").alias("of")
     )
     found = found.filter(F.col("n") >= _FREQUENT * F.col("of")).orderBy(F.desc("n"), "word").limit(int(1 / _FREQUENT))
@@ -393,4 +393,4 @@ def score(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: s
     kind = df.schema[id_column].dataType.simpleString()
     rows = df.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
     schema = f"_id {kind}, n_tokens long, n_known long, base_score double, score double, perplexity double"
-    return rows.mapInArrow(compute, schema).withColumnRenamed("_id", id_column)
+    return arrow_map(rows, compute, schema).withColumnRenamed("_id", id_column)
