@@ -34,16 +34,16 @@ class Brute:
             self.before[b] += 1
         self.d = language_model.discounts([sum(n == k for n in self.pairs.values()) for k in (1, 2, 3, 4)])
         self.e = language_model.discounts([sum(n == k for n in self.before.values()) for k in (1, 2, 3, 4)])
+        self.lost = sum(self.e[min(k, 3) - 1] for k in self.before.values())
+        self.freed = {a: sum(self.d[min(k, 3) - 1] for k in found) for a, found in self.followers.items()}
 
     def chance(self, a, b):
         n, found = self.before[b], len(self.pairs)
-        lost = sum(self.e[min(k, 3) - 1] for k in self.before.values())
-        lower = (max(n - self.e[min(n, 3) - 1], 0) if n else 0) / found + lost / found / (len(self.words) + 1)
+        lower = (max(n - self.e[min(n, 3) - 1], 0) if n else 0) / found + self.lost / found / (len(self.words) + 1)
         if not self.total[a]:
             return lower
         n = self.pairs[a, b]
-        lost = sum(self.d[min(k, 3) - 1] for k in self.followers[a])
-        return (max(n - self.d[min(n, 3) - 1], 0) if n else 0) / self.total[a] + lost / self.total[a] * lower
+        return (max(n - self.d[min(n, 3) - 1], 0) if n else 0) / self.total[a] + self.freed[a] / self.total[a] * lower
 
     def score(self, text):
         total, last = 0.0, "<s>"
