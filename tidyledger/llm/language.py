@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyledger.llm.common import checkpointed, slices
+from tidyledger.llm.common import arrow_map, checkpointed, slices
 from tidyledger.llm.ngrams import (
     code_points,
     document_frequency,
@@ -180,4 +180,4 @@ def predict(
 
     kind = df.schema[id_column].dataType.simpleString()
     rows = df.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
-    return rows.mapInArrow(compute, f"_id {kind}, lang_pred string, score double").withColumnRenamed("_id", id_column)
+    return arrow_map(rows, compute, f"_id {kind}, lang_pred string, score double").withColumnRenamed("_id", id_column)

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidyledger.llm.common import slices, string_bytes
+from tidyledger.llm.common import arrow_map, slices, string_bytes
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -60,7 +60,7 @@ def document_frequency(df: DataFrame, text_column: str, features: Features, size
             place, number = np.append(some, size), np.append(total[some], rows)
             yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(number)], ["place", "n"])
 
-    counted = df.select(F.col(text_column).alias("_text")).mapInArrow(compute, "place int, n long")
+    counted = arrow_map(df.select(F.col(text_column).alias("_text")), compute, "place int, n long")
     found = counted.groupBy("place").agg(F.sum("n").alias("n")).collect()
     frequency, rows = np.zeros(size, np.int64), 0
     for place, n in found:
@@ -83,9 +83,10 @@ def feature_rows(df: DataFrame, text_column: str, label: str, order: str, featur
             )
 
     kind = df.schema[label].dataType.simpleString()
-    rows = df.select(
+    named = df.select(
         F.col(label).alias("_label"), F.col(order).alias("_order"), F.col(text_column).alias("_text")
-    ).mapInArrow(compute, f"_label {kind}, _order string, _features binary")
+    )
+    rows = arrow_map(named, compute, f"_label {kind}, _order string, _features binary")
     found = rows.orderBy("_order", "_label", "_features").limit(limit).collect()
     if not found:
         return [], np.zeros((0, 0))

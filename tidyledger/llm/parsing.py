@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidyledger.llm.common import checkpointed, slices
+from tidyledger.llm.common import arrow_map, checkpointed, slices
 from tidyledger.llm.ngrams import code_points
 
 BINS = 64
@@ -193,7 +193,7 @@ def fingerprint_with_next(df: DataFrame, id_column: str = "doc_id", text_column:
             yield end(held, False)
 
     parsed = checkpointed(
-        ranged.mapInArrow(compute, f"_id {kind}, {_RESULT}, _place int, _head boolean, _end string")
+        arrow_map(ranged, compute, f"_id {kind}, {_RESULT}, _place int, _head boolean, _end string")
     )
     # Two rows per task: its first and its last text.
     ends = parsed.filter("_place is not null").select("_id", "_place", "_head", "_end")
@@ -210,7 +210,7 @@ def fingerprint_with_next(df: DataFrame, id_column: str = "doc_id", text_column:
             )
             yield pa.RecordBatch.from_arrays(found, names)
 
-    joined = tails.select("_id", "_end", "_next").mapInArrow(join_ends, f"_id {kind}, {_RESULT}")
+    joined = arrow_map(tails.select("_id", "_end", "_next"), join_ends, f"_id {kind}, {_RESULT}")
     rows = parsed.filter("_place is null").select(*names).unionByName(joined)
     return rows.select(
         F.col("_id").alias(id_column),

@@ -9,6 +9,7 @@ computed in blocks, and the nearest vote with their similarity as weight.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyledger.llm.common import Words, pieces_array, slices
+from tidyledger.llm.common import Words, arrow_map, pieces_array, slices
 from tidyledger.llm.ngrams import document_frequency, feature_rows, hashed_ngrams, uniform
 
 CONTENT = 512  # buckets of byte n-grams
@@ -26,7 +27,7 @@ STYLE = 6
 SIZE = CONTENT + SHAPE + STYLE
 SAMPLE = 6000  # labelled texts that vote, at most
 TOPICS = 64  # dimensions of a vector
-NEIGHBOURS = 25
+NEIGHBOURS = 25  # that vote, or the root of the number of voters if that is less
 THRESHOLD = 0.7
 _SCALE = 10_000  # measures of style are stored as whole numbers
 
@@ -106,7 +107,8 @@ class QualityModel:
             return result
         found = measures(array)
         some = np.flatnonzero(found[:, : CONTENT + SHAPE].any(axis=1))
-        k = min(neighbours, len(self.labels))
+        # With few voters the far ones would outvote the near ones.
+        k = min(neighbours, math.ceil(math.sqrt(len(self.labels))))
         for at in range(0, len(some), 256):
             block = some[at : at + 256]
             vectors = _unit(weighted(found[block], self.idf) @ self.topics)
@@ -185,7 +187,7 @@ def score(
 
     rows = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
     schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
-    found = rows.mapInArrow(compute, f"{schema}, score double")
+    found = arrow_map(rows, compute, f"{schema}, score double")
     return found.select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)],
         "score",

@@ -18,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyledger.llm.common import pieces_between_spaces, slices
+from tidyledger.llm.common import arrow_map, pieces_between_spaces, slices
 
 SPACE = "▁"  # what the vocabulary writes for a space
 UNKNOWN_PENALTY = 10.0  # an unknown character scores this much below the worst piece
 _LONGEST_IN_TRIE = 48  # characters; a longer pre-token is segmented alone
-_CACHED = 300_000  # pre-tokens whose count a task remembers
+STEP = 2 << 20  # bytes of text that are looked at together
+_CACHED = 200_000  # pre-tokens whose count a task remembers
 _BASE = np.uint64(0xBF58476D1CE4E5B9)
 _MIX = np.uint64(0x94D049BB133111EB)
 
@@ -198,7 +199,7 @@ def token_counts(
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = None
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", STEP):
             counter = counter or Counter(load_pieces(vocabulary))
             pretokens, tokens = counter.count(batch.column("_text"))
             yield pa.RecordBatch.from_arrays(
@@ -210,4 +211,4 @@ def token_counts(
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = df.select(F.col(id_column).alias("_id"), F.length(text).cast("long").alias("_n"), text.alias("_text"))
     schema = f"_id {kind}, n_chars long, n_pretokens long, n_tokens long"
-    return rows.mapInArrow(compute, schema).withColumnRenamed("_id", id_column)
+    return arrow_map(rows, compute, schema).withColumnRenamed("_id", id_column)
