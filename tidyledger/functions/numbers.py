@@ -48,6 +48,11 @@ def double_text(value: Column) -> Column:
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
+    """True division of two numbers as doubles; NULL over zero."""
+    return F.try_divide(numerator.cast("double"), denominator.cast("double"))
+
+
+def ieee_ratio(numerator: Column, denominator: Column) -> Column:
     """True division of two numbers as doubles; infinite or NaN over zero."""
     top, bottom = numerator.cast("double"), denominator.cast("double")
     over_zero = F.when((top == 0) | F.isnan(top), float("nan")).otherwise(F.signum(top) * float("inf"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidyledger.functions import TIERS, month_key, ratio, report_value
+from tidyledger.functions import TIERS, ieee_ratio, month_key, report_value
 from tidyledger.operators.fence import compute_once
 from tidyledger.operators.median import exact_median
 
@@ -54,7 +54,7 @@ def _segment() -> Column:
 
 
 def _gross_margin() -> Column:
-    return ratio(F.col("order_amount_old") - F.col("cost"), F.col("order_amount_old"))
+    return ieee_ratio(F.col("order_amount_old") - F.col("cost"), F.col("order_amount_old"))
 
 
 def _floor_margin() -> Column:
@@ -138,7 +138,7 @@ def _ratio_value(name: str) -> Column:
     below = F.col(denominator)
     if denominator in COUNTS:
         below = F.nullif(below, F.lit(0))  # over no orders there is no value
-    return report_value(ratio(F.col(numerator), below), digits)
+    return report_value(ieee_ratio(F.col(numerator), below), digits)
 
 
 def _ratio_kpi(gold: DataFrame, name: str) -> DataFrame:
@@ -181,7 +181,7 @@ def kpi_4(gold: DataFrame) -> DataFrame:
 
 
 def _return_rates(by_method: DataFrame) -> DataFrame:
-    rate = report_value(ratio(F.col("returns"), F.col("orders")), RATE_DIGITS)
+    rate = report_value(ieee_ratio(F.col("returns"), F.col("orders")), RATE_DIGITS)
     return _kpi_row(by_method, "kpi_5", rate, F.col("payment_method"))
 
 
@@ -222,7 +222,7 @@ def _top_month(monthly: DataFrame) -> DataFrame:
 
 def _latest_growth(monthly: DataFrame) -> DataFrame:
     latest = month_gmv_lag(monthly).orderBy(F.col("month_key").desc()).limit(1)
-    growth = ratio(F.col("gmv") - F.col("prev_gmv"), F.col("prev_gmv"))
+    growth = ieee_ratio(F.col("gmv") - F.col("prev_gmv"), F.col("prev_gmv"))
     return _kpi_row(latest, "kpi_9", report_value(growth, RATE_DIGITS))
 
 
@@ -259,7 +259,7 @@ def payment_month_shares(counts: DataFrame) -> DataFrame:
     counts = compute_once(counts, ("month_key",))
     totals = F.broadcast(payment_month_totals(counts))
     return counts.join(totals, "month_key").select(
-        "month_key", "payment_method", ratio(F.col("n"), F.col("total")).alias("share")
+        "month_key", "payment_method", ieee_ratio(F.col("n"), F.col("total")).alias("share")
     )
 
 
