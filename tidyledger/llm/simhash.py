@@ -11,7 +11,7 @@ shares a cell is verified on all 64 bits.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +19,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyledger.llm.common import Words, checkpointed, slices
+from tidyledger.llm.common import Words, arrow_map, checkpointed, slices
 from tidyledger.llm.graph import components
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
+COMMON = 4096  # fingerprints of the most rows that are broadcast with their components
 CELL_LIMIT = 8192  # fingerprints of one cell that are compared in one task
 _SEGMENTS = 32  # of two bits each
 
@@ -73,18 +74,27 @@ def simhash_batch(array: pa.Array, shingle_words: int = SHINGLE_WORDS) -> np.nda
 
 
 def fingerprints(
-    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle_words: int = SHINGLE_WORDS
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """The id and `fp`, the fingerprint as a signed long, for every row; null text is empty."""
+    """The id and `fp`, the fingerprint as a signed long, for every row; null text is empty.
+
+    `carry` names columns of text to take along.
+    """
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             found = simhash_batch(batch.column("_text"), shingle_words).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(found)], ["_id", "fp"])
+            taken = [batch.column(name) for name in ["_id", *carry]]
+            yield pa.RecordBatch.from_arrays([*taken, pa.array(found)], ["_id", *carry, "fp"])
 
-    rows = df.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
+    rows = df.select(F.col(id_column).alias("_id"), *carry, F.col(text_column).alias("_text"))
     kind = df.schema[id_column].dataType.simpleString()
-    return rows.mapInArrow(compute, f"_id {kind}, fp long").withColumnRenamed("_id", id_column)
+    carried = "".join(f", {name} string" for name in carry)
+    return arrow_map(rows, compute, f"_id {kind}{carried}, fp long").withColumnRenamed("_id", id_column)
 
 
 def cells_of(fps: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -112,7 +122,7 @@ def _registered(distinct: DataFrame, max_bits: int) -> DataFrame:
                 cell, at = (np.concatenate(x) for x in zip(*found))
                 yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(fps[at])], ["cell", "fp"])
 
-    return distinct.select("fp").mapInArrow(compute, "cell long, fp long")
+    return arrow_map(distinct.select("fp"), compute, "cell long, fp long")
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +213,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, cell_limit: int = CELL_
         if cells:
             yield from linked(True)
 
-    return grouped.mapInArrow(compute, "a long, b long")
+    return arrow_map(grouped, compute, "a long, b long")
 
 
 def simhash_near_duplicates(
@@ -212,24 +222,32 @@ def simhash_near_duplicates(
     text_column: str = "text",
     shingle_words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The id, `fingerprint` (16 hex digits) and `component_id` of every row.
 
+    `carry` names columns of text to take along.
+
     Fingerprints link at `max_bits` or fewer differing bits; `component_id` is the
     smallest id that is reachable over links, the row's own included. Null text is
     empty; a text without words has the fingerprint zero and is linked like any
     other. Null ids are ignored where another id is reachable. Repeated rows stay
     rows. An empty table gives no rows.
     """
-    marked = checkpointed(fingerprints(df, id_column, text_column, shingle_words))
-    distinct = checkpointed(marked.groupBy("fp").agg(F.min(id_column).alias("least")))
+    marked = checkpointed(fingerprints(df, id_column, text_column, shingle_words, carry))
+    distinct = checkpointed(marked.groupBy("fp").agg(F.min(id_column).alias("least"), F.count("*").alias("n")))
     roots = checkpointed(components(links(distinct, max_bits)).select(F.col("node").alias("fp"), "root"))
     linked = distinct.join(roots, "fp")
     least = linked.groupBy("root").agg(F.min("least").alias("least"))
     moved = roots.join(least, "root").select("fp", F.col("least").alias("reached"))
-    per_fp = distinct.join(moved, "fp", "left").select(
-        "fp", F.coalesce("reached", "least").alias("component_id")
+    per_fp = checkpointed(
+        distinct.join(moved, "fp", "left").select("fp", "n", F.coalesce("reached", "least").alias("component_id"))
     )
-    return marked.join(per_fp, "fp").select(
-        id_column, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    # The fingerprints of most rows are sent to the rows; the others meet by a shuffle.
+    common = F.broadcast(per_fp.filter("n > 1").orderBy(F.desc("n"), "fp").limit(COMMON).drop("n"))
+    with_common = marked.join(common, "fp", "left")
+    missing = with_common.filter("component_id is null").drop("component_id").join(per_fp.drop("n"), "fp")
+    found = with_common.filter("component_id is not null").unionByName(missing)
+    return found.select(
+        id_column, *carry, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
