@@ -35,9 +35,11 @@ def keep_representatives(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents whose id is null cannot be told apart by it; they all stay.
     """
-    groups = simhash.simhash_near_duplicates(docs)
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    named = docs.withColumn("_digest", exact_dedup.text_digest())
+    groups = simhash.simhash_near_duplicates(named, carry=["_digest"])
+    # Rows may repeat an id with another text, so the text is compared too.
+    gone = groups.filter("doc_id <> component_id").select("doc_id", "_digest").distinct()
+    return named.join(gone, ["doc_id", "_digest"], "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
