@@ -96,15 +96,16 @@ def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.n
 
 
 def _packed(bucket: np.ndarray, arrays: list[np.ndarray]) -> pa.RecordBatch:
-    """A row for each bucket with its part of every array."""
+    """A row for each bucket with its part of every array, compressed."""
     order = np.argsort(bucket, kind="stable")
     at = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     cuts = np.append(at, len(order))
-    columns = [pa.array(bucket[order][at].astype(np.int32))]
+    columns = [pa.array(bucket[order][at].astype(np.int32)), pa.array(np.diff(cuts))]
     for array in arrays:
         array = array[order]
-        columns.append(pa.array([array[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()))
-    return pa.RecordBatch.from_arrays(columns, ["bucket", *[f"a{i}" for i in range(len(arrays))]])
+        blobs = [pa.compress(array[a:b].tobytes(), "zstd", asbytes=True) for a, b in zip(cuts, cuts[1:])]
+        columns.append(pa.array(blobs, pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "n", *[f"a{i}" for i in range(len(arrays))]])
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch], kinds: list) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -112,20 +113,24 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], kinds: list) -> Iterator[tuple
     now, parts = None, []
 
     def joined():
-        return now, [np.concatenate([np.frombuffer(p[i], k) for p in parts]) for i, k in enumerate(kinds)]
+        return now, [np.concatenate([p[i] for p in parts]) for i in range(len(kinds))]
 
     for batch in batches:
-        columns = [batch.column(i + 1) for i in range(len(kinds))]
+        numbers, columns = batch.column(1).to_pylist(), [batch.column(i + 2) for i in range(len(kinds))]
         for row, bucket in enumerate(batch.column(0).to_pylist()):
             if bucket != now and parts:
                 yield joined()
                 parts = []
             now = bucket
-            parts.append([column[row].as_buffer() for column in columns])
+            parts.append([_unpacked(c[row].as_buffer(), numbers[row], k) for c, k in zip(columns, kinds)])
     if parts:
         yield joined()
 
 
+def _unpacked(blob: pa.Buffer, number: int, kind: type) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, number * np.dtype(kind).itemsize, "zstd"), kind)
+
+
 def _store(folder: str, name: str, array: np.ndarray) -> None:
     """Write a file whole or not at all, so that a repeated task does no harm."""
     filesystem, path = fs.FileSystem.from_uri(folder)
@@ -255,10 +260,10 @@ def train(df: DataFrame, text_column: str = "text", id_column: str = "doc_id") -
             yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.int64()))], ["totals"])
 
     blobs = ", ".join(f"a{i} binary" for i in range(3))
-    counted = arrow_map(rows, count, f"bucket int, {blobs}")
+    counted = arrow_map(rows, count, f"bucket int, n long, {blobs}")
     gathered = counted.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     blobs = ", ".join(f"a{i} binary" for i in range(6))
-    per_word = checkpointed(arrow_map(gathered, pairs, f"bucket int, {blobs}, totals array<bigint>"))
+    per_word = checkpointed(arrow_map(gathered, pairs, f"bucket int, n long, {blobs}, totals array<bigint>"))
     pair_totals = _sum_arrays(per_word.filter("totals is not null"), 4)
     parts = per_word.drop("totals").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     total = _sum_arrays(checkpointed(arrow_map(parts, words, "totals array<bigint>")), 8)
