@@ -55,8 +55,9 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 def ieee_ratio(numerator: Column, denominator: Column) -> Column:
     """True division of two numbers as doubles; infinite or NaN over zero."""
     top, bottom = numerator.cast("double"), denominator.cast("double")
-    over_zero = F.when((top == 0) | F.isnan(top), float("nan")).otherwise(F.signum(top) * float("inf"))
-    return F.when(bottom != 0, F.try_divide(top, bottom)).when(top.isNotNull() & bottom.isNotNull(), over_zero)
+    # Zero times infinity is NaN, and NULL stays NULL.
+    over_zero = F.signum(top) * (bottom + float("inf"))
+    return F.coalesce(F.try_divide(top, bottom), over_zero)
 
 
 def report_value(value: Column, digits: int) -> Column:
