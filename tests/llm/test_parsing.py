@@ -77,3 +77,20 @@ def test_next_across_many_ranges(spark):
     for i, text in texts.items():
         wanted = parsing.edited(text, texts[(i - 1) % 120])
         assert found[i] == hashlib.sha256(wanted.encode()).hexdigest()
+
+
+def test_short_texts_that_keep_half_stay_alike():
+    """Half a text of 30 to 150 characters is a third of both together, by small phrases too."""
+    for length in (30, 60, 100, 150):
+        texts = [prose(seed, 60)[:length] for seed in range(200)]
+        others = [prose(1000 + seed, 60)[:length] for seed in range(200)]
+        changed = [parsing.edited(a, b) for a, b in zip(texts, others)]
+        prints, edited, apart = (parsing.sketch(pa.array(t)) for t in (texts, changed, others))
+        near = parsing.likeness(prints, edited)
+        assert near.min() > 0 and near.mean() > 0.25
+        assert (near > parsing.likeness(prints, apart)).mean() > 0.9
+
+
+def test_whole_text_is_named_once():
+    found = parsing.sketch(pa.array(["a", "é", "a" * 1000]))
+    assert (found > 0).sum(axis=1).tolist() == [1, 1, 1]

@@ -4,8 +4,10 @@ A text is parsed into phrases whose borders depend on a few neighbouring symbols
 only: deterministic coin tossing gives neighbours different small labels, and a
 phrase begins at each local maximum. A phrase is named by a hash of what it
 holds, and the names are parsed again, level after level. Equal substrings get
-equal names inside, wherever they stand. The names of the higher levels are
-sketched by one-permutation hashing; the share of equal bins is the likeness.
+equal names inside, wherever they stand. The names of all levels are sketched by
+one-permutation hashing; the share of equal bins is the likeness. A bin prefers
+the higher levels, so that long texts are compared by long phrases, and those of
+levels 2 and 1 decide where a text has too few of them.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from tidyledger.llm.ngrams import code_points
 
 BINS = 64
 LEVELS = 6
-FIRST_LEVEL = 3  # phrases of some forty characters and more are sketched
+FIRST_LEVEL = 3  # phrases of some forty characters and more come first in a bin
 _TOSSES = 4  # 64 bits, then labels below 128, 14, 8 and 6
 _A, _B, _C = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -90,22 +92,33 @@ def phrases(names: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def sketch(array: pa.Array) -> np.ndarray:
-    """BINS 16-bit numbers per text; 0 marks an empty bin, and an empty text has only those."""
+    """BINS 16-bit numbers per text; 0 marks an empty bin, and an empty text has only those.
+
+    A bin holds the least drawn of the names from FIRST_LEVEL up that fall into it;
+    if there is none, of level 2, then of level 1. A text that has become one phrase
+    is parsed no further: higher levels would only name the whole text again.
+    """
     points, owner = code_points(array)
     names = mix(points.astype(np.uint64))
-    bins = np.full(len(array) * BINS, np.iinfo(np.uint64).max, np.uint64)
+    nothing = np.iinfo(np.uint64).max
+    bins = np.full(len(array) * BINS, nothing, np.uint64)
+    waiting = []
     for level in range(1, LEVELS + 1):
         if not len(names):
             break
         names, owner = phrases(names, owner)
-        if level >= FIRST_LEVEL:
-            drawn = mix(names + np.uint64(level))
-            place = owner * BINS + (drawn >> np.uint64(58)).astype(np.int64)
-            order = np.lexsort((drawn, place))
-            place, drawn = place[order], drawn[order]
-            first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
-            bins[place[first]] = np.minimum(bins[place[first]], drawn[first])
-    empty = bins == np.iinfo(np.uint64).max
+        drawn = mix(names + np.uint64(level))
+        place = owner * BINS + (drawn >> np.uint64(58)).astype(np.int64)
+        if level < FIRST_LEVEL:
+            waiting.append((place, drawn))
+        else:
+            np.minimum.at(bins, place, drawn)
+        several = np.bincount(owner, minlength=len(array))[owner] > 1
+        names, owner = names[several], owner[several]
+    for place, drawn in reversed(waiting):
+        open_ = bins[place] == nothing
+        np.minimum.at(bins, place[open_], drawn[open_])
+    empty = bins == nothing
     found = (mix(bins) % np.uint64(65535)).astype(np.uint16) + np.uint16(1)
     found[empty] = 0
     return found.reshape(len(array), BINS)
