@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -94,3 +95,12 @@ def test_short_texts_that_keep_half_stay_alike():
 def test_whole_text_is_named_once():
     found = parsing.sketch(pa.array(["a", "é", "a" * 1000]))
     assert (found > 0).sum(axis=1).tolist() == [1, 1, 1]
+
+
+def test_no_single_task_takes_the_texts_between_ranges(spark):
+    """What goes to one partition has no text."""
+    df = spark.createDataFrame([(i, prose(i, 9)) for i in range(40)], "doc_id long, text string")
+    plan = parsing.fingerprint_with_next(df)._jdf.queryExecution()
+    said = spark._jvm.PythonSQLUtils.explainString(plan, "formatted")
+    single = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: SinglePartition", said)
+    assert single and all("_place" in columns and "_end" not in columns for columns in single)

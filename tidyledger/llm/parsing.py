@@ -208,12 +208,19 @@ def fingerprint_with_next(df: DataFrame, id_column: str = "doc_id", text_column:
     parsed = checkpointed(
         arrow_map(ranged, compute, f"_id {kind}, {_RESULT}, _place int, _head boolean, _end string")
     )
-    # Two rows per task: its first and its last text.
-    ends = parsed.filter("_place is not null").select("_id", "_place", "_head", "_end")
-    by_place = Window.orderBy("_place", F.desc("_head"))
+    # Two rows per task: its first and its last text. The window over the places
+    # that have rows sees their numbers only; the texts meet by equality of those.
+    ends = parsed.filter("_place is not null")
+    heads, tails = ends.filter("_head"), ends.filter("not _head")
+    by_place = Window.orderBy("_place")
     whole = by_place.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    following = F.coalesce(F.lead("_end").over(by_place), F.first("_end").over(whole))
-    tails = ends.withColumn("_next", following).filter(~F.col("_head"))
+    following = F.coalesce(F.lead("_place").over(by_place), F.first("_place").over(whole))
+    places = heads.select("_place").select("_place", following.alias("_following"))
+    tails = (
+        tails.select("_id", "_place", "_end")
+        .join(places, "_place")
+        .join(heads.select(F.col("_place").alias("_following"), F.col("_end").alias("_next")).hint("merge"), "_following")
+    )
 
     def join_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_end"):
