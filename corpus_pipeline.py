@@ -19,32 +19,49 @@ from tidyledger.llm.queries import quality_model
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Columns that the operators read; all others travel under names of their own.
+READ = ("doc_id", "text", "source")
+
+
+def _aside(docs: DataFrame) -> DataFrame:
+    """`docs` with names that no operator uses for what it adds."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in READ else f"_in{i}") for i, c in enumerate(docs.columns)])
+
+
+def _back(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs` under their names."""
+    return found.select(*[F.col(c if c in READ else f"_in{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    scored = quality.score(docs, quality_model(docs, sf_dir))
-    return scored.filter(F.col("predicted") == 1).select(*docs.columns)
+    scored = quality.score(_aside(docs), quality_model(docs, sf_dir))
+    return _back(scored.filter(F.col("predicted") == 1), docs)
 
 
 def keep_distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of identical texts the document with the largest id."""
-    return exact_dedup.exact_dedup(docs).filter("kept").select(*docs.columns)
+    return _back(exact_dedup.exact_dedup(_aside(docs)).filter("kept"), docs)
 
 
 def keep_representatives(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id.
+    """Of each group of near-duplicates one document: that with the smallest id.
 
-    Documents whose id is null cannot be told apart by it; they all stay.
+    Null ids come last; of one id the least digest of the text stays, and of rows
+    that repeat id and text one.
     """
-    named = docs.withColumn("_digest", exact_dedup.text_digest())
-    groups = simhash.simhash_near_duplicates(named, carry=["_digest"])
-    # Rows may repeat an id with another text, so the text is compared too.
-    gone = groups.filter("doc_id <> component_id").select("doc_id", "_digest").distinct()
-    return named.join(gone, ["doc_id", "_digest"], "left_anti").select(*docs.columns)
+    # Fit for an id that is never null and orders all rows of a group.
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", exact_dedup.text_digest().alias("digest"))
+    named = _aside(docs).withColumn("_key", key)
+    groups = simhash.simhash_near_duplicates(named, id_column="_key")
+    stays = groups.filter(F.col("_key").eqNullSafe(F.col("component_id"))).select("_key").distinct()
+    return _back(named.join(stays, "_key", "left_semi").dropDuplicates(["_key"]), docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The copies that the mix takes, the last of a source cut to its target."""
-    return mixing.mixed_rows(mixing.mix_sources(docs), docs.columns)
+    aside = _aside(docs)
+    return _back(mixing.mixed_rows(mixing.mix_sources(aside), aside.columns), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

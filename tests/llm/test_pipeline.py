@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
 import corpus_pipeline
+from tests.llm.conftest import prose
 from tests.llm.test_simhash import brute_fingerprint, brute_roots
 
 
@@ -80,3 +81,37 @@ def test_registered(spark):
     for n in range(1, 11):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
+
+
+def test_one_row_stays_of_repeated_and_null_ids(spark, sample):
+    """Near-equal texts under one id, under none, and in groups without any id."""
+    one, two, three = prose(21, 300), prose(22, 300), prose(23, 300)
+    rows = [
+        *[(5, one), (5, one + " end"), (5, one + " end"), (9, one), (None, one), (None, "so " + one)],
+        *[(None, two), (None, two + " end"), (None, two)],
+        *[(None, three), (None, three + " end")],
+        (7, prose(24, 300)),
+    ]
+    docs = spark.createDataFrame([(*r, "s", i) for i, r in enumerate(rows)], "doc_id long, text string, source string, size int")
+    found = corpus_pipeline.keep_representatives(spark, docs.repartition(4), sample).collect()
+    at = {i: (0, 6, 9, 11)[sum(i >= x for x in (6, 9, 11))] for i in range(len(rows))}
+    roots = brute_roots([brute_fingerprint(text) for _, text in rows], 4)
+    assert [at[i] == at[j] for i in at for j in at] == [roots[i] == roots[j] for i in at for j in at]
+    assert sorted(at[r["size"]] for r in found) == [0, 6, 9, 11]
+    assert {at[r["size"]]: r.doc_id for r in found} == {0: 5, 6: None, 9: None, 11: 7}
+    assert all((r.doc_id, r.text) == rows[r["size"]] for r in found)
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES, ids=[name for name, _ in corpus_pipeline.STAGES])
+def test_stages_on_messy_and_empty_tables(spark, sample, messy, empty, name, stage):
+    """Input columns named like those of operators come back with their own values."""
+    assert stage(spark, empty, sample).count() == 0
+    out = stage(spark, messy, sample)
+    if name == "packing":
+        out.collect()
+        return
+    assert out.dtypes == messy.dtypes
+    left = [c for c in messy.columns if not (name == "mixing" and c == "text")]
+    before = Counter(messy.select(*left).collect())
+    after = Counter(out.select(*left).collect())
+    assert after and all(before[row] * (2 if name == "mixing" else 1) >= n for row, n in after.items())
