@@ -16,7 +16,8 @@ TABLES = Path("/root/testdata/sf0.01")
 def test_matches_oracle(spark, duck, name):
     if not TABLES.is_dir():
         pytest.skip("no test tables")
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{TABLES}/documents.parquet'")
+    for file in TABLES.glob("*.parquet"):
+        duck.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
     frame = queries()[name](spark, str(TABLES))
     columns = sorted(frame.columns)
     relation = duck.sql(ORACLE[name])

@@ -99,12 +99,12 @@ class Words:
     """The words of a batch of texts as positions in its bytes.
 
     `starts` and `ends` point into `data`; words `first[i]` to `first[i + 1] - 1`
-    belong to text i.
+    belong to text i. `outside` marks the bytes between words.
     """
 
-    def __init__(self, array: pa.Array):
+    def __init__(self, array: pa.Array, outside: np.ndarray = _SPACE):
         self.data, self.offsets = string_bytes(array)
-        inside = ~_SPACE[self.data]
+        inside = ~outside[self.data]
         begins, finishes = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]
         finishes[:-1] &= ~inside[1:]

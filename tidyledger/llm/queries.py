@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyledger.llm import (
+    decontamination,
     exact_dedup,
     language,
     language_model,
@@ -107,6 +108,19 @@ def op10_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, directory).select("doc_id", "text"))
 
 
+def op11_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory).select("doc_id", "text")
+    items = spark.read.parquet(f"{directory}/benchmark.parquet").select("item_id", "text")
+    return decontamination.decontaminate(docs, items).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_mix_sources,
@@ -119,6 +133,7 @@ def queries() -> dict[str, Query]:
         op8_secret_scan,
         op9_language,
         op10_token_counts,
+        op11_decontamination,
     )
     return {query.__name__: query for query in found}
 
@@ -133,6 +148,10 @@ def _spans(kind: str, pattern: str, least: str = "") -> str:
     string_split_regex(text, '{pattern}') AS g FROM docs) WHERE len(m) > 0"""
 
 
+_LATIN_WORDS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 ORACLE = {
@@ -194,4 +213,29 @@ matches AS ({" UNION ALL ".join(
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs LEFT JOIN found USING (doc_id)""",
+    "op11_decontamination": f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_LATIN_WORDS} AS w FROM documents
+), items AS (
+  SELECT item_id, {_LATIN_WORDS} AS w FROM benchmark
+), strings AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS string
+  FROM (SELECT item_id, w, least(len(w), 10) AS m, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i
+    FROM items WHERE len(w) > 0)
+), places AS (
+  SELECT r, m, i, array_to_string(w[i:i + m - 1], ' ') AS string
+  FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM docs, (SELECT DISTINCT m FROM strings)
+    WHERE len(w) >= m)
+), found AS (
+  SELECT r, i, m, item_id FROM places JOIN strings USING (m, string)
+), hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS p FROM found) GROUP BY r
+), listed AS (
+  SELECT r, count(DISTINCT item_id) AS n_items,
+    sha256(coalesce(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)), '')) AS h
+  FROM found GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)""",
 }
