@@ -19,6 +19,7 @@ from tidyledger.llm import (
     secrets,
     simhash,
     token_counts,
+    whitening,
 )
 from tidyledger.llm.common import checkpointed, word_count
 from tidyledger.llm.ngrams import remainder
@@ -121,6 +122,15 @@ def op11_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def embeddings(spark: SparkSession, directory: str) -> DataFrame:
+    return spark.read.parquet(f"{directory}/embeddings.parquet")
+
+
+def op12_whitening(spark: SparkSession, directory: str) -> DataFrame:
+    vectors = embeddings(spark, directory).select("vec_id", "embedding")
+    return whitening.transform(vectors, whitening.fit(vectors))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_mix_sources,
@@ -134,6 +144,7 @@ def queries() -> dict[str, Query]:
         op9_language,
         op10_token_counts,
         op11_decontamination,
+        op12_whitening,
     )
     return {query.__name__: query for query in found}
 

@@ -8,7 +8,7 @@ import uuid
 
 import numpy as np
 from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tidyledger.llm.common import checkpointed
 
@@ -66,3 +66,10 @@ class Blocks:
                 self._held = None
                 self._held = (name, made(load_arrays(self.folder, name)))
             yield self._held[1]
+
+
+def written(df: DataFrame, kind: str) -> DataFrame:
+    """`df` as Parquet in a new shared folder, read back."""
+    path = f"{new_folder(df.sparkSession, kind)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
