@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidyledger.llm import (
     decontamination,
     exact_dedup,
+    hard_negatives,
     language,
     language_model,
     mixing,
@@ -131,6 +132,12 @@ def op12_whitening(spark: SparkSession, directory: str) -> DataFrame:
     return whitening.transform(vectors, whitening.fit(vectors))
 
 
+def op13_hard_negatives(spark: SparkSession, directory: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = embeddings(spark, directory).select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_mix_sources,
@@ -145,6 +152,7 @@ def queries() -> dict[str, Query]:
         op10_token_counts,
         op11_decontamination,
         op12_whitening,
+        op13_hard_negatives,
     )
     return {query.__name__: query for query in found}
 
@@ -249,4 +257,24 @@ WITH docs AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)""",
+    "op13_hard_negatives": """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM vectors a, vectors b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10""",
 }
