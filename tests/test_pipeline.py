@@ -121,6 +121,75 @@ def test_replace_table_replaces(spark, tmp_path):
         spark.sql("DROP DATABASE sink CASCADE")
 
 
+def names_in(spark, database) -> list[str]:
+    return [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+
+
+def test_a_failed_write_leaves_the_first_table_whole(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE swap LOCATION '{tmp_path}'")
+    try:
+        writers.replace_table(spark.range(5).toDF("x"), "swap.t")
+        broken = spark.range(9).select(F.when(F.col("id") > 7, F.raise_error(F.lit("broken"))).otherwise(1).alias("y"))
+        with pytest.raises(Exception, match="broken"):
+            writers.replace_table(broken, "swap.t")
+        assert sorted(r.x for r in spark.table("swap.t").collect()) == [0, 1, 2, 3, 4]
+        assert names_in(spark, "swap") == ["t"]
+        # The new rows may come from the table that they replace.
+        grown = writers.replace_table(spark.table("swap.t").selectExpr("x + 1 AS x"), "swap.t")
+        assert sorted(r.x for r in grown.collect()) == [1, 2, 3, 4, 5]
+        assert names_in(spark, "swap") == ["t"]
+    finally:
+        spark.sql("DROP DATABASE swap CASCADE")
+
+
+def test_a_failed_renaming_gives_the_old_table_its_name_back(spark, tmp_path, monkeypatch):
+    spark.sql(f"CREATE DATABASE swap LOCATION '{tmp_path}'")
+    run = type(spark).sql
+
+    def fail(session, query, *args, **kwargs):
+        if re.match(r"ALTER TABLE \S+_staged_", query):
+            raise RuntimeError("no renaming")
+        return run(session, query, *args, **kwargs)
+
+    try:
+        writers.replace_table(spark.range(5).toDF("x"), "swap.t")
+        monkeypatch.setattr(type(spark), "sql", fail)
+        with pytest.raises(RuntimeError, match="no renaming"):
+            writers.replace_table(spark.range(2).toDF("y"), "swap.t")
+        monkeypatch.undo()
+        assert spark.table("swap.t").count() == 5
+        assert names_in(spark, "swap") == ["t"]
+    finally:
+        monkeypatch.undo()
+        spark.sql("DROP DATABASE swap CASCADE")
+
+
+def test_run_reports_malformed_lines(spark, raw, tmp_path):
+    good = "2024-05-01,gold,10,4,0,card,1"
+    lines = [",".join(RAW_COLUMNS), f"1,{good}", f"2,{good},surplus", "3,2024-05-01,gold", f"four,{good}"]
+    (tmp_path / "x.csv").write_text("\n".join(lines) + "\n")
+    from_file = readers.read_raw_csv(spark, str(tmp_path / "x.csv"))
+    assert pipeline.run(spark, from_file, str(tmp_path / "out")).malformed_lines.first()[0] == 3
+    assert pipeline.run(spark, raw, str(tmp_path / "out")).malformed_lines.first()[0] == 0
+    assert scans(quality.profile(from_file)) == 1
+
+
+def test_a_working_folder_on_a_cluster_must_be_named(spark, tmp_path):
+    class Cluster:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Cluster()
+        conf = {}
+
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        assert session.working_folder(spark) != session.working_folder(spark)
+    with pytest.raises(ValueError, match=re.escape("spark.checkpoint.dir")):
+        session.working_folder(Session())
+    Session.conf = {"spark.checkpoint.dir": f"{tmp_path}/"}
+    assert session.working_folder(Session()) == str(tmp_path)
+
+
 def test_run(spark, raw, tmp_path):
     tables = pipeline.run(spark, raw, str(tmp_path))
     assert rows(tables.clean_table) == rows(layers.clean(raw))
@@ -210,6 +279,20 @@ def test_generated_code_stays_small_enough_to_compile(stored, name, capsys, monk
     assert code_size(query(stored.sparkSession, ""), capsys) < 8000
 
 
+@pytest.mark.parametrize("name", entry_module.order_queries())
+def test_every_stage_compiles(stored, name, monkeypatch):
+    """Spark falls back to interpretation where generated code is refused; here it must not."""
+    spark = stored.sparkSession
+    monkeypatch.setattr(entry_module, "read_dirty_orders", lambda spark, directory: stored)
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    try:
+        entry_module.order_queries()[name](spark, "").write.format("noop").mode("overwrite").save()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+        spark.conf.unset("spark.sql.codegen.factoryMode")
+
+
 def test_columns_of_custom_rules_are_fenced(stored, capsys):
     rules = (*ORDER_RULES, Rule("known", "customer_segment = 'gold' AND date LIKE '%2024'"))
     assert code_size(layers.clean(stored, rules), capsys) < 8000

@@ -10,13 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def round_scaled(value: Column, digits: int) -> Column:
+def round_scaled(value: Column, digits: int | Column) -> Column:
     """Round a double half away from zero after scaling it in binary.
 
     ``F.round`` rounds the decimal text of the double instead, so 1.005 gives
     1.01 there and 1.0 here (1.005 is stored slightly below the half).
     """
-    scale = F.lit(10.0**digits)
+    scale = F.pow(F.lit(10.0), digits) if isinstance(digits, Column) else F.lit(10.0**digits)
     size = F.abs(value * scale)
     floor = F.floor(size).cast("double")
     up = F.when(size - floor >= 0.5, 1.0).otherwise(0.0)
@@ -61,5 +61,9 @@ def ieee_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def report_value(value: Column, digits: int) -> Column:
-    """A rounded double as report text."""
+    """A rounded double as report text.
+
+    The text names its value many times. Where the value is itself a long
+    expression, compute and round it behind fences (see the KPI table).
+    """
     return double_text(round_scaled(value, digits))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidyledger.functions import TIERS, ieee_ratio, month_key, report_value
+from tidyledger.functions import TIERS, double_text, ieee_ratio, month_key, round_scaled
 from tidyledger.operators.fence import compute_once
 from tidyledger.operators.median import exact_median
 
@@ -125,36 +125,52 @@ def _no_key() -> Column:
     return F.lit(None).cast("string")
 
 
-def _kpi_row(df: DataFrame, name: str, value: Column, key: Column | None = None) -> DataFrame:
+def _number(df: DataFrame, name: str, value: Column, digits: int, key: Column | None = None) -> DataFrame:
+    """A KPI row before it is formatted: its number and the decimals to show."""
     return df.select(
         F.lit(name).alias("kpi_name"),
-        value.alias("kpi_value"),
+        value.cast("double").alias("value"),
+        F.lit(digits).alias("digits"),
         (_no_key() if key is None else key.cast("string")).alias("kpi_key"),
     )
 
 
+def _formatted(numbers: DataFrame) -> DataFrame:
+    """The numbers rounded and as report text.
+
+    Rounding and text name their value many times over. The fences make each a
+    column of its own; without them the code for a few KPIs passes the size that
+    the JVM accepts.
+    """
+    numbers = compute_once(numbers, ("value", "digits"))
+    rounded = numbers.withColumn("value", round_scaled(F.col("value"), F.col("digits")))
+    text = double_text(F.col("value")).alias("kpi_value")
+    return compute_once(rounded, ("value",)).select("kpi_name", text, "kpi_key")
+
+
 def _ratio_value(name: str) -> Column:
-    numerator, denominator, digits = RATIOS[name]
+    numerator, denominator, _ = RATIOS[name]
     below = F.col(denominator)
     if denominator in COUNTS:
         below = F.nullif(below, F.lit(0))  # over no orders there is no value
-    return report_value(ieee_ratio(F.col(numerator), below), digits)
+    return ieee_ratio(F.col(numerator), below)
 
 
 def _ratio_kpi(gold: DataFrame, name: str) -> DataFrame:
     totals = gold.agg(*_measures(RATIOS[name][:2]))
-    return _kpi_row(totals, name, _ratio_value(name))
+    return _formatted(_number(totals, name, _ratio_value(name), RATIOS[name][2]))
 
 
-def _ratio_kpis(totals: DataFrame) -> DataFrame:
+def _ratio_numbers(totals: DataFrame) -> DataFrame:
     """One row of measures becomes one row per ratio KPI."""
     rows = [
         F.struct(
             F.lit(name).alias("kpi_name"),
-            _ratio_value(name).alias("kpi_value"),
+            _ratio_value(name).alias("value"),
+            F.lit(digits).alias("digits"),
             _no_key().alias("kpi_key"),
         )
-        for name in RATIOS
+        for name, (_, _, digits) in RATIOS.items()
     ]
     return totals.select(F.inline(F.array(*rows)))
 
@@ -174,20 +190,25 @@ def kpi_3(gold: DataFrame) -> DataFrame:
     return _ratio_kpi(gold, "kpi_3")
 
 
+def _median(gold: DataFrame) -> DataFrame:
+    middle = exact_median(gold, "order_amount_old")
+    return _number(middle, "kpi_4", F.col("median"), AMOUNT_DIGITS)
+
+
 def kpi_4(gold: DataFrame) -> DataFrame:
     """Median order amount, exact and interpolated."""
-    middle = exact_median(gold, "order_amount_old")
-    return _kpi_row(middle, "kpi_4", report_value(F.col("median"), AMOUNT_DIGITS))
+    return _formatted(_median(gold))
 
 
 def _return_rates(by_method: DataFrame) -> DataFrame:
-    rate = report_value(ieee_ratio(F.col("returns"), F.col("orders")), RATE_DIGITS)
-    return _kpi_row(by_method, "kpi_5", rate, F.col("payment_method"))
+    rate = ieee_ratio(F.col("returns"), F.col("orders"))
+    return _number(by_method, "kpi_5", rate, RATE_DIGITS, F.col("payment_method"))
 
 
 def kpi_5(gold: DataFrame) -> DataFrame:
     """Return rate of each payment method; orders without one form a row."""
-    return _return_rates(gold.groupBy("payment_method").agg(*_measures(("returns", "orders"))))
+    by_method = gold.groupBy("payment_method").agg(*_measures(("returns", "orders")))
+    return _formatted(_return_rates(by_method))
 
 
 def kpi_6(gold: DataFrame) -> DataFrame:
@@ -217,13 +238,15 @@ def month_gmv_lag(monthly: DataFrame) -> DataFrame:
 
 def _top_month(monthly: DataFrame) -> DataFrame:
     top = monthly.orderBy(F.col("gmv").desc(), F.col("month_key").desc()).limit(1)
-    return _kpi_row(top, "kpi_8", F.col("month_key"))
+    return top.select(
+        F.lit("kpi_8").alias("kpi_name"), F.col("month_key").alias("kpi_value"), _no_key().alias("kpi_key")
+    )
 
 
 def _latest_growth(monthly: DataFrame) -> DataFrame:
     latest = month_gmv_lag(monthly).orderBy(F.col("month_key").desc()).limit(1)
     growth = ieee_ratio(F.col("gmv") - F.col("prev_gmv"), F.col("prev_gmv"))
-    return _kpi_row(latest, "kpi_9", report_value(growth, RATE_DIGITS))
+    return _number(latest, "kpi_9", growth, RATE_DIGITS)
 
 
 def kpi_8(gold: DataFrame) -> DataFrame:
@@ -233,7 +256,7 @@ def kpi_8(gold: DataFrame) -> DataFrame:
 
 def kpi_9(gold: DataFrame) -> DataFrame:
     """Revenue growth of the last month over the previous month in the data."""
-    return _latest_growth(month_gmv(gold))
+    return _formatted(_latest_growth(month_gmv(gold)))
 
 
 # Payment mix
@@ -273,12 +296,12 @@ def payment_share_shift(shares: DataFrame) -> DataFrame:
 def _largest_shift(counts: DataFrame) -> DataFrame:
     shifts = payment_share_shift(payment_month_shares(counts))
     largest = shifts.agg(F.max("diff").alias("diff"))
-    return _kpi_row(largest, "kpi_10", report_value(F.col("diff"), RATE_DIGITS))
+    return _number(largest, "kpi_10", F.col("diff"), RATE_DIGITS)
 
 
 def kpi_10(gold: DataFrame) -> DataFrame:
     """The largest change of a payment method's share between two of its months."""
-    return _largest_shift(payment_month_counts(gold))
+    return _formatted(_largest_shift(payment_month_counts(gold)))
 
 
 # All together
@@ -309,12 +332,11 @@ def kpi_results(gold: DataFrame) -> DataFrame:
     methods = summary.groupBy("payment_method").agg(*_sums(("returns", "orders")))
     monthly = summary.groupBy("month_key").agg(*_sums(("gmv",)))
     counts = summary.select("month_key", "payment_method", F.col("orders").alias("n"))
-    parts = [
-        _ratio_kpis(summary.agg(*_sums(ALL_MEASURES))),
-        kpi_4(gold),
+    numbers = [
+        _ratio_numbers(summary.agg(*_sums(ALL_MEASURES))),
+        _median(gold),
         _return_rates(methods),
-        _top_month(monthly),
         _latest_growth(monthly),
         _largest_shift(counts),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return _formatted(reduce(DataFrame.unionByName, numbers)).unionByName(_top_month(monthly))

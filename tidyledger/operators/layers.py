@@ -19,9 +19,9 @@ from tidyledger.functions import (
     to_integer,
     to_key,
 )
-from tidyledger.operators.fence import compute_once
+from tidyledger.operators.fence import barrier, compute_once
 from tidyledger.operators.rules import ORDER_RULES, Rule, columns_needed, columns_read, passes_all
-from tidyledger.schema import BUSINESS_KEY, GOLD_COLUMNS, RAW_COLUMNS, require_columns
+from tidyledger.schema import BUSINESS_KEY, GOLD_COLUMNS, MALFORMED, RAW_COLUMNS, require_columns
 
 
 def silver_parsed(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -61,20 +61,24 @@ def silver_normalised(parsed: DataFrame, carry: tuple[str, ...] = ()) -> DataFra
 
 
 def normalised_beside_raw(raw: DataFrame) -> DataFrame:
-    """The normalised layer with the raw columns beside it, in a struct ``raw``."""
-    beside = raw.withColumn("raw", F.struct(*RAW_COLUMNS))
+    """The normalised layer with the raw columns beside it, in a struct ``raw``.
+
+    With the column of malformed lines too, if the reader gave one.
+    """
+    columns = [name for name in (*RAW_COLUMNS, MALFORMED) if name in raw.columns]
+    beside = raw.withColumn("raw", F.struct(*columns))
     return silver_normalised(silver_parsed(beside, ("raw",)), ("raw",))
 
 
 def fenced(normalised: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -> DataFrame:
     """The same rows, with what the rules read computed once, and the segment too.
 
-    The segment has a fence of its own: a count that needs the rules alone then
-    does not compute it.
+    The segment lies behind a barrier that is pruned: a count that needs the
+    rules alone neither computes nor reads it.
     """
     read = columns_read(rules, normalised.columns)
     if "customer_segment" not in read:
-        normalised = compute_once(normalised, ("customer_segment",))
+        normalised = barrier(normalised, ("customer_segment",))
     return compute_once(normalised, read) if read else normalised
 
 
