@@ -290,3 +290,36 @@ GROUP BY month_key, payment_method""",
 # The same tables read through temporary views.
 ORACLE["clean_table_from_views"] = ORACLE["clean_table"]
 ORACLE["kpi_results_from_views"] = ORACLE["kpi_results"]
+
+# The raw table through files and the catalog. Of a line with fields too few, or with a
+# key that is no number, what can be read stays; a surplus field makes it malformed only.
+# An empty field of a file is NULL.
+READ_BACK = RAW + """
+, lines AS (
+  SELECT *, row_id % 89 = 0 AS surplus, row_id % 89 <> 0 AND row_id % 83 = 0 AS cut,
+    row_id % 89 <> 0 AND row_id % 83 <> 0 AND row_id % 79 = 0 AS no_key
+  FROM raw
+), read_back AS (
+  SELECT CASE WHEN NOT no_key THEN row_id END AS row_id, date, customer_segment,
+    nullif(order_amount_old, '') AS order_amount_old,
+    CASE WHEN NOT cut THEN cost END AS cost, CASE WHEN NOT cut THEN nullif(is_return, '') END AS is_return,
+    CASE WHEN NOT cut THEN payment_method END AS payment_method,
+    CASE WHEN NOT cut THEN hour_of_day END AS hour_of_day, surplus OR cut OR no_key AS malformed
+  FROM lines
+)
+"""
+ORACLE["csv_import"] = READ_BACK + "SELECT * FROM read_back"
+ORACLE["csv_run"] = (
+    READ_BACK
+    + PARSED.replace("FROM raw)", "FROM read_back)")
+    + NORMALISED
+    + FILTERED
+    + GOLD
+    + """
+SELECT (SELECT count(*) FROM read_back WHERE malformed) AS malformed_lines,
+  (SELECT count(*) FROM parsed) AS total_rows,
+  (SELECT count(*) FROM parsed WHERE parsed_dt IS NULL) AS date_parse_failures,
+  (SELECT count(*) FROM filtered) AS kept_after_filter, (SELECT count(*) FROM gold) AS clean_rows"""
+)
+ORACLE["parquet_import"] = RAW + "SELECT * FROM raw"
+ORACLE["catalog_table"] = RAW + "SELECT * FROM raw"

@@ -32,6 +32,7 @@ def test_every_query_has_an_oracle():
 
 TYPES = {
     "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
     "int": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",

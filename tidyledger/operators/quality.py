@@ -146,15 +146,18 @@ _PROFILE_KEYS = ("raw_segment", "customer_segment", "payment_method")
 def profile(raw: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -> DataFrame:
     """The counts of ``quality_summary`` by raw and corrected segment and payment method.
 
-    One scan, from which the reports below are sums.
+    With them the number of ``malformed_lines`` of the files. One scan, from
+    which the reports below are sums.
     """
     rows = normalised_beside_raw(raw).withColumn("raw_segment", F.col("raw.customer_segment"))
-    return rows.groupBy(*_PROFILE_KEYS).agg(*_summary_counts(rules))
+    malformed = _malformed_count("raw.") if MALFORMED in raw.columns else F.lit(0).cast("long")
+    counts = _summary_counts(rules)
+    return rows.groupBy(*_PROFILE_KEYS).agg(*counts, malformed.alias("malformed_lines"))
 
 
 def summary_of(profiled: DataFrame) -> DataFrame:
     """``quality_summary`` from a profile."""
-    names = [name for name in profiled.columns if name not in _PROFILE_KEYS]
+    names = [name for name in profiled.columns if name not in (*_PROFILE_KEYS, "malformed_lines")]
     first = F.coalesce(F.sum("total_rows"), F.lit(0)).alias("total_rows")
     return profiled.agg(first, *[F.sum(name).alias(name) for name in names if name != "total_rows"])
 
@@ -172,11 +175,18 @@ def payment_methods_of(profiled: DataFrame) -> DataFrame:
     return counts.orderBy(F.col("nbr_methods").desc(), F.col("payment_method").asc_nulls_last())
 
 
+def malformed_of(profiled: DataFrame) -> DataFrame:
+    """``malformed_lines`` from a profile."""
+    return profiled.agg(F.coalesce(F.sum("malformed_lines"), F.lit(0)).alias("malformed_lines"))
+
+
+def _malformed_count(inside: str = "") -> Column:
+    # A reader only notices what is wrong with the columns that it is asked for.
+    every = F.coalesce(*[F.col(inside + name).cast("string") for name in RAW_COLUMNS], F.lit(""))
+    return F.count(F.when(F.col(inside + MALFORMED).isNotNull(), every))
+
+
 def malformed_lines(raw: DataFrame) -> DataFrame:
     """One row: how many lines of the files could not be read whole; 0 for other sources."""
-    if MALFORMED not in raw.columns:
-        return raw.agg(F.lit(0).cast("long").alias("malformed_lines"))
-    # A reader only notices what is wrong with the columns that it is asked for.
-    every = F.coalesce(*[F.col(name).cast("string") for name in RAW_COLUMNS], F.lit(""))
-    bad = F.when(F.col(MALFORMED).isNotNull(), every)
-    return raw.agg(F.count(bad).alias("malformed_lines"))
+    count = _malformed_count() if MALFORMED in raw.columns else F.lit(0).cast("long")
+    return raw.agg(count.alias("malformed_lines"))

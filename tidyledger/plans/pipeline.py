@@ -23,6 +23,7 @@ class Tables:
     quality_summary: DataFrame
     segment_mapping: DataFrame
     payment_methods: DataFrame
+    malformed_lines: DataFrame
     folder: str | None = None
 
 
@@ -71,6 +72,7 @@ def run(
         quality_summary=write("quality_summary", quality.summary_of(profile)),
         segment_mapping=write("segment_mapping", quality.segment_mapping_of(profile)),
         payment_methods=write("payment_methods", quality.payment_methods_of(profile)),
+        malformed_lines=write("malformed_lines", quality.malformed_of(profile)),
         folder=folder,
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -30,3 +31,17 @@ def size_session(spark: SparkSession, input_bytes: int) -> None:
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def working_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as the cluster names it.
+
+    Where none is named, a local session gets a temporary one; on a cluster that
+    is an error, as the executors would not see each other's files.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir is not set; name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="tidyledger-")

@@ -10,12 +10,18 @@ new key.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidyledger.schema import RAW_COLUMNS
 
 # Which orders come twice, once more under a new key, and how far
 # the new keys are away.
 COPY_EVERY = 97
 REKEY_EVERY = 101
 REKEY_OFFSET = 1_000_000_000
+# Which lines of a file get a field too many, end after four fields, and have a key
+# that is no number: remainders of the key.
+SURPLUS_EVERY, CUT_EVERY, NO_KEY_EVERY = 89, 83, 79
 
 _DATE = """
 CASE k % 11
@@ -117,3 +123,16 @@ def dirty_orders(orders: DataFrame) -> DataFrame:
 def read_dirty_orders(spark: SparkSession, directory: str) -> DataFrame:
     """The raw table from ``<directory>/orders.parquet``."""
     return dirty_orders(spark.read.parquet(f"{directory}/orders.parquet"))
+
+
+def damaged_lines(raw: DataFrame) -> DataFrame:
+    """The raw orders as lines of CSV (column ``line``), a few of them malformed."""
+    fields = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    line, key = F.to_csv(F.struct(*RAW_COLUMNS), fields), F.col("row_id")
+    return raw.select(
+        F.when(key % SURPLUS_EVERY == 0, F.concat(line, F.lit(",surplus")))
+        .when(key % CUT_EVERY == 0, F.substring_index(line, ",", 4))
+        .when(key % NO_KEY_EVERY == 0, F.concat(F.lit("x"), line))
+        .otherwise(line)
+        .alias("line")
+    )

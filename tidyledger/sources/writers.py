@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 
 
@@ -17,6 +19,30 @@ def write_files(df: DataFrame, path: str) -> DataFrame:
 
 
 def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Create or replace the catalog table ``name`` and read it back."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Create or replace the catalog table ``name`` and read it back.
+
+    The rows are first written to a table of their own, which then takes the
+    place of the old one by renaming: two changes of the catalog, no copy. If the
+    write fails, the old table stays as it is, also when ``df`` reads from it; if
+    the second renaming fails, the old table gets its name back.
+    """
+    spark = df.sparkSession
+    mark = uuid4().hex
+    staged, retired = f"{name}_staged_{mark}", f"{name}_retired_{mark}"
+    try:
+        df.write.format("parquet").saveAsTable(staged)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    replaces = spark.catalog.tableExists(name)
+    if replaces:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {retired}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    except Exception:
+        if replaces:
+            spark.sql(f"ALTER TABLE {retired} RENAME TO {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {retired}")
+    return spark.table(name)
