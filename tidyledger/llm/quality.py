@@ -4,14 +4,12 @@ A text is a latent-semantic vector: TF-IDF weights of its character n-grams and
 of the n-grams of its character classes, with some measures of style, reduced by
 a singular value decomposition. The vectors of a bounded sample of labelled
 texts are broadcast; for every document the exact cosines with all of them are
-computed in blocks, and the nearest vote with their similarity as weight. 25 vote,
-or the root of the number of voters (rounded up) where that is less, below 577
-voters: with few of them the far ones would outvote the near ones.
+computed in blocks, and the 25 nearest vote with their similarity as weight (all
+of them, if there are fewer).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +27,7 @@ STYLE = 6
 SIZE = CONTENT + SHAPE + STYLE
 SAMPLE = 6000  # labelled texts that vote, at most
 TOPICS = 64  # dimensions of a vector
-NEIGHBOURS = 25  # that vote, or the root of the number of voters if that is less
+NEIGHBOURS = 25  # that vote
 THRESHOLD = 0.7
 _SCALE = 10_000  # measures of style are stored as whole numbers
 
@@ -109,8 +107,7 @@ class QualityModel:
             return result
         found = measures(array)
         some = np.flatnonzero(found[:, : CONTENT + SHAPE].any(axis=1))
-        # With few voters the far ones would outvote the near ones.
-        k = min(neighbours, math.ceil(math.sqrt(len(self.labels))))
+        k = min(neighbours, len(self.labels))
         for at in range(0, len(some), 256):
             block = some[at : at + 256]
             vectors = _unit(weighted(found[block], self.idf) @ self.topics)
