@@ -1,10 +1,14 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer, models
 
+from tidyledger.llm import token_counts
 from tidyledger.llm.token_counts import SPACE, Segmenter, load_pieces
 
 
@@ -25,6 +29,24 @@ def library(pieces):
     return count
 
 
+def one(pieces: dict[str, float], text: str) -> int:
+    """The count of a pre-token of any length, character by character."""
+    whole = {piece: round(score * token_counts._UNIT) for piece, score in pieces.items()}
+    unknown = round((min(pieces.values()) - token_counts.UNKNOWN_PENALTY) * token_counts._UNIT)
+    longest = max(map(len, pieces))
+    best = [(0, 0)]
+    for end in range(1, len(text) + 1):
+        found = []
+        for length in range(1, min(end, longest) + 1):
+            score, tokens = whole.get(text[end - length : end]), 1
+            if score is None and length == 1:
+                score, tokens = unknown, len(text[end - 1].encode())
+            if score is not None:
+                found.append((best[end - length][0] + score, best[end - length][1] - tokens))
+        best.append(max(found))
+    return -best[-1][1]
+
+
 def _words(n: int) -> list[str]:
     draw = random.Random(12)
     parts = ["the", "ing", "er", "tion", "é", "ß", "日", "😀", "\n", SPACE, "x", "Q", "1", "...", "internationalization"]
@@ -34,16 +56,51 @@ def _words(n: int) -> list[str]:
 def test_trie_and_single_agree_with_the_library(pieces, library):
     segmenter, words = Segmenter(pieces), _words(3000)
     counts = segmenter.many(words).tolist()
-    assert counts == [segmenter.one(w) for w in words] == [library(w) for w in words]
+    assert counts == [one(pieces, w) for w in words] == [library(w) for w in words]
 
 
 def test_prefixes_and_long_words(pieces):
     segmenter = Segmenter(pieces)
     words = [SPACE + "internationalization"[:n] for n in range(21)] + ["ab" * 400, "日" * 60]
-    assert segmenter.many(words).tolist() == [segmenter.one(w) for w in words]
+    words += ["internationalization" * 30, "x" * 500] + ["q" * n for n in range(30, 100)]
+    assert segmenter.many(words).tolist() == [one(pieces, w) for w in words]
     assert segmenter.many([]).tolist() == []
 
 
+def _joined(n: int, seed: int) -> str:
+    draw = random.Random(seed)
+    parts = ["the", "ing", "er", "tion", "é", "日本", "😀", "\n", "x", "Q", "1", "...", "function", "aaaa", "return", "=="]
+    return "".join(draw.choice(parts) for _ in range(n))
+
+
+def test_windows_of_long_words(pieces, monkeypatch):
+    """Several tries, and every length around the edges of windows."""
+    words = [_joined(2000, 1), _joined(700, 2), *[_joined(200, 3)[:n] for n in range(40, 140)]]
+    wanted = [one(pieces, w) for w in words]
+    assert Segmenter(pieces).many(words).tolist() == wanted
+    monkeypatch.setattr(token_counts, "STRINGS", 100)
+    assert Segmenter(pieces).many(words).tolist() == wanted
+
+
+@given(st.lists(st.text("abc", min_size=1, max_size=60), min_size=1, max_size=5))
+@settings(max_examples=150, deadline=None)
+def test_windows_of_a_small_vocabulary(words):
+    """Many pieces over each edge, equal scores and characters that no piece has."""
+    pieces = {"a": -2.0, "b": -2.5, "aa": -3.0, "ab": -4.5, "aba": -5.0, "bab": -5.5, "aaaa": -6.0}
+    segmenter = Segmenter(pieces)
+    segmenter.window = segmenter.longest + 1
+    distinct = list(dict.fromkeys(words))
+    assert segmenter.many(distinct).tolist() == [one(pieces, w) for w in distinct]
+
+
+def test_a_long_text_without_spaces_is_quick(pieces):
+    segmenter, text = Segmenter(pieces), _joined(40_000, 5)[:100_000]
+    assert len(text) == 100_000
+    began = time.perf_counter()
+    segmenter.many([text])
+    assert time.perf_counter() - began < 2  # some 0.4 s; a character at a time takes 3 s
+
+
 def test_query_counts_whole_texts(spark, sample, corpus, pieces, library):
     from tidyledger.llm.queries import queries
 

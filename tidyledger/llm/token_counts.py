@@ -5,6 +5,13 @@ prefixes of one length at once, the best segmentation that ends there is found
 from those of the shorter prefixes above it, so that a prefix is scored once
 however many pre-tokens begin with it. At the end of a pre-token the number of
 pieces of its best segmentation is stored.
+
+Every pre-token goes into the trie as windows of WINDOW characters: one string for
+each place at which a piece that reaches over the beginning of the window ends, with
+the characters that a piece may reach over the end of the window. Nearly all
+pre-tokens are one window. Of a longer one, the best ways through each window are
+put together from left to right. Scores are whole numbers, so their sums do not
+depend on where the windows begin.
 """
 
 from __future__ import annotations
@@ -22,9 +29,13 @@ from tidyledger.llm.common import arrow_map, pieces_between_spaces, slices
 
 SPACE = "▁"  # what the vocabulary writes for a space
 UNKNOWN_PENALTY = 10.0  # an unknown character scores this much below the worst piece
-_LONGEST_IN_TRIE = 48  # characters; a longer pre-token is segmented alone
+WINDOW = 32  # characters from the beginning of a window to that of the next
+STRINGS = 1 << 16  # strings that are in a trie together
+_UNIT = 1 << 32  # scores are whole numbers of 1 / _UNIT
+_NONE = -(1 << 60)  # below every score
 STEP = 2 << 20  # bytes of text that are looked at together
 _CACHED = 200_000  # pre-tokens whose count a task remembers
+_CACHED_BYTES = 48  # a longer one is not remembered
 _BASE = np.uint64(0xBF58476D1CE4E5B9)
 _MIX = np.uint64(0x94D049BB133111EB)
 
@@ -57,12 +68,13 @@ class Segmenter:
     """
 
     def __init__(self, pieces: dict[str, float]):
-        self.pieces = pieces
-        self.unknown = min(pieces.values()) - UNKNOWN_PENALTY
+        self.unknown = round((min(pieces.values()) - UNKNOWN_PENALTY) * _UNIT)
         self.longest = max(map(len, pieces))
-        by_length: dict[int, list[tuple[str, float]]] = {}
+        # A window must hold the end of every piece that reaches into it.
+        self.window = max(WINDOW, self.longest)
+        by_length: dict[int, list[tuple[str, int]]] = {}
         for piece, score in pieces.items():
-            by_length.setdefault(len(piece), []).append((piece, score))
+            by_length.setdefault(len(piece), []).append((piece, round(score * _UNIT)))
         self.tables = {}
         for length, some in by_length.items():
             points = np.array([p for p, _ in some], f"<U{length}").view(np.uint32).reshape(-1, length)
@@ -70,43 +82,83 @@ class Segmenter:
             for column in points.T:
                 keys = _extend(keys, column)
             order = np.argsort(keys)
-            self.tables[length] = keys[order], np.array([s for _, s in some])[order]
+            self.tables[length] = keys[order], np.array([s for _, s in some], np.int64)[order]
         self.powers = [1]
         for _ in range(self.longest):
             self.powers.append(self.powers[-1] * int(_BASE) % (1 << 64))
 
-    def one(self, text: str) -> int:
-        """A single pre-token of any length."""
-        best, count = [0.0], [0]
-        for end in range(1, len(text) + 1):
-            top = None
-            for length in range(1, min(end, self.longest) + 1):
-                score, tokens = self.pieces.get(text[end - length : end]), 1
-                if score is None and length == 1:
-                    score, tokens = self.unknown, len(text[end - 1].encode())
-                if score is not None:
-                    found = (best[end - length] + score, -(count[end - length] + tokens))
-                    top = found if top is None or found > top else top
-            best.append(top[0])
-            count.append(-top[1])
-        return count[-1]
+    def _windows(self, text: str) -> Iterator[tuple[int, np.ndarray, range]]:
+        """Beginning, entries and exits (places in the text) of each window of a pre-token.
+
+        A segmentation enters a window at its beginning, or where a piece that
+        reaches over the beginning ends; no other place need be looked at.
+        """
+        last = max(0, -(-(len(text) - self.longest + 1) // self.window) - 1)
+        begins = np.arange(last + 1) * self.window
+        points = np.array([text], f"<U{len(text)}").view(np.uint32)
+        entered = np.zeros((last + 1, self.longest), bool)
+        entered[:, 0] = True
+        for before in range(1, self.longest):
+            keys = np.zeros(last, np.uint64)
+            for length in range(1, self.longest + 1):
+                keys = _extend(keys, points[begins[1:] - before + length - 1])
+                if length > before and length in self.tables:
+                    table = self.tables[length][0]
+                    place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+                    entered[1:, length - before] |= table[place] == keys
+        for k, begin in enumerate(begins.tolist()):
+            following = begin + self.window
+            exits = range(len(text), len(text) + 1) if k == last else range(following, following + self.longest)
+            yield begin, begin + np.flatnonzero(entered[k]), exits
 
     def many(self, texts: list[str]) -> np.ndarray:
         """Counts for distinct pre-tokens."""
         result = np.zeros(len(texts), np.int64)
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        for i in np.flatnonzero(lengths > _LONGEST_IN_TRIE):
-            result[i] = self.one(texts[i])
-        here = np.flatnonzero((lengths > 0) & (lengths <= _LONGEST_IN_TRIE))
-        if not len(here):
-            return result
-        width = int(lengths[here].max())
-        points = np.array([texts[i] for i in here], f"<U{width}").view(np.uint32).reshape(-1, width)
-        ends = lengths[here]
+        of_one = lengths < self.window + self.longest
+        whole = np.flatnonzero(of_one & (lengths > 0))
+        windows = [(i, *w) for i in np.flatnonzero(~of_one).tolist() for w in self._windows(texts[i])]
+        reached: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        per_trie = STRINGS // self.longest
+        for at in range(0, max(len(windows), 1), per_trie):
+            group = windows[at : at + per_trie]
+            alone = whole if at == 0 else whole[:0]
+            strings = [texts[i] for i in alone.tolist()]
+            owner, depth = [np.arange(len(alone))], [lengths[alone]]
+            for i, _, entries, exits in group:
+                owner.append(np.repeat(len(strings) + np.arange(len(entries)), len(exits)))
+                depth.append((np.array(exits)[None, :] - entries[:, None]).ravel())
+                strings += [texts[i][start : exits[-1]] for start in entries.tolist()]
+            score, count = self._forward(strings, np.concatenate(owner), np.concatenate(depth))
+            result[alone] = count[: len(alone)]
+            place = len(alone)
+            for i, begin, entries, exits in group:
+                size = len(entries) * len(exits)
+                ways = score[place : place + size].reshape(len(entries), -1)
+                tokens = count[place : place + size].reshape(len(entries), -1)
+                if begin:
+                    ways = ways + reached[i][0][entries - begin, None]
+                    tokens = tokens + reached[i][1][entries - begin, None]
+                best = ways.max(axis=0)
+                fewest = np.where(ways == best, tokens, np.iinfo(np.int64).max).min(axis=0)
+                reached[i], result[i] = (best, fewest), fewest[-1]
+                place += size
+        return result
+
+    def _forward(self, strings: list[str], owner: np.ndarray, depths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best score and number of pieces of the first `depths` characters of the strings `owner`."""
+        scores, counts = np.zeros(len(owner), np.int64), np.zeros(len(owner), np.int64)
+        if not len(owner):
+            return scores, counts
+        order = np.argsort(depths, kind="stable")
+        width = int(depths.max())
+        points = np.array(strings, f"<U{width}").view(np.uint32).reshape(-1, width)
+        ends = np.fromiter(map(len, strings), np.int64, len(strings))
+        asked = np.searchsorted(depths[order], np.arange(1, width + 2))
         # Level 0 is the root. Of each level: hash, best score, count, and the node above.
-        node = np.zeros(len(here), np.int64)
-        keys, best, count, above = [np.zeros(1, np.uint64)], [np.zeros(1)], [np.zeros(1, np.int64)], [None]
-        alive = np.arange(len(here))
+        node = np.zeros(len(strings), np.int64)
+        keys, best, count, above = [np.zeros(1, np.uint64)], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], [None]
+        alive = np.arange(len(strings))
         for depth in range(1, width + 1):
             alive = alive[ends[alive] >= depth]
             step = (node[alive] << 21) | points[alive, depth - 1].astype(np.int64)
@@ -116,18 +168,18 @@ class Segmenter:
             keys.append(_extend(keys[-1][parent], last))
             above.append(parent)
             self._score_level(keys, best, count, above, last)
-            done = alive[ends[alive] == depth]
-            result[here[done]] = count[-1][node[done]]
-        return result
+            here = order[asked[depth - 1] : asked[depth]]
+            scores[here], counts[here] = best[-1][node[owner[here]]], count[-1][node[owner[here]]]
+        return scores, counts
 
     def _score_level(self, keys, best, count, above, last: np.ndarray) -> None:
         depth = len(keys) - 1
-        top = np.full(len(last), -np.inf)
+        top = np.full(len(last), _NONE)
         tokens = np.zeros(len(last), np.int64)
         node = np.arange(len(last))
         for length in range(1, min(depth, self.longest) + 1):
             node = above[depth - length + 1][node]
-            score = np.full(len(last), -np.inf)
+            score = np.full(len(last), _NONE)
             added = np.ones(len(last), np.int64)
             if length in self.tables:
                 table, scores = self.tables[length]
@@ -136,7 +188,7 @@ class Segmenter:
                 known = table[place] == key
                 score[known] = scores[place[known]]
             if length == 1:
-                unknown = np.isneginf(score)
+                unknown = score == _NONE
                 score[unknown] = self.unknown
                 added[unknown] = _utf8_length(last[unknown])
             found, n = best[depth - length][node] + score, count[depth - length][node] + added
@@ -181,7 +233,7 @@ class Counter:
         tokens = np.fromiter(
             (found[p] if p in found else self.known[p] for p in distinct), np.int64, len(distinct)
         )
-        self.known.update((p, n) for p, n in found.items() if len(p) <= _LONGEST_IN_TRIE)
+        self.known.update((p, n) for p, n in found.items() if len(p) <= _CACHED_BYTES)
         total = np.concatenate([[0], np.cumsum(tokens[place])])
         return np.diff(first), total[first[1:]] - total[first[:-1]]
 
