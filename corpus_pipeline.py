@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyledger.llm import exact_dedup, mixing, packing, quality, simhash
-from tidyledger.llm.common import checkpointed
+from tidyledger.llm.common import checkpointed, quoted
 from tidyledger.llm.queries import quality_model
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,7 +25,7 @@ READ = ("doc_id", "text", "source")
 
 def _aside(docs: DataFrame) -> DataFrame:
     """`docs` with names that no operator uses for what it adds."""
-    return docs.select(*[F.col(f"`{c}`").alias(c if c in READ else f"_in{i}") for i, c in enumerate(docs.columns)])
+    return docs.select(*[F.col(quoted(c)).alias(c if c in READ else f"_in{i}") for i, c in enumerate(docs.columns)])
 
 
 def _back(found: DataFrame, docs: DataFrame) -> DataFrame:
@@ -48,14 +48,19 @@ def keep_representatives(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of near-duplicates one document: that with the smallest id.
 
     Null ids come last; of one id the least digest of the text stays, and of rows
-    that repeat id and text one.
+    that repeat id and text the first by their other columns as JSON.
     """
     # Fit for an id that is never null and orders all rows of a group.
     key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", exact_dedup.text_digest().alias("digest"))
     named = _aside(docs).withColumn("_key", key)
     groups = simhash.simhash_near_duplicates(named, id_column="_key")
     stays = groups.filter(F.col("_key").eqNullSafe(F.col("component_id"))).select("_key").distinct()
-    return _back(named.join(stays, "_key", "left_semi").dropDuplicates(["_key"]), docs)
+    kept = named.join(stays, "_key", "left_semi")
+    # Repeated rows are merged before the shuffle.
+    columns = [c for c in kept.columns if c != "_key"]
+    order = F.to_json(F.struct(*[c for c in columns if c != "text"]), {"ignoreNullFields": "false"})
+    one = kept.groupBy("_key").agg(F.min_by(F.struct(*columns), order).alias("row"))
+    return _back(one.select("row.*"), docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
