@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import types as T
 
 # Columns beside those of documents, named like columns that operators make.
-CLASHING = ["size", "kept", "score", "digest", "fp", "target", "findings", "text_sha256", "component_id", "start"]
+CLASHING = ["size", "KEPT", "Score", "DIGEST", "fp", "target", "findings", "text_sha256", "component_id", "start"]
+CLASHING += ["_digest", "_keep_id", "_size", "_task", "_heavy", "_queue", "_part", "_order", "_ahead", "_offset", "_id", "_text"]
+CLASHING += ["a.b", "_in0", "n`t"]
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),

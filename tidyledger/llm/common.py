@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +34,14 @@ _WIDE_SPACES = [
 def checkpointed(df: DataFrame) -> DataFrame:
     """`df` written to the folder that all executors share, with a short lineage.
 
-    The folder is the session's `spark.checkpoint.dir`; only where that is unset
-    (a local session, as in tests) a temporary one is made.
+    The folder is the session's `spark.checkpoint.dir`. Where that is unset, a
+    local session (as in tests) gets a temporary one; on a cluster it is an error.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir is not set; name a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
 
@@ -60,6 +62,31 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots or any other character."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+class Aside:
+    """The columns of a table under names that no operator gives, and back.
+
+    Columns named like one of `replaced`, in any case, are left out: the operator
+    has new ones of these names.
+    """
+
+    def __init__(self, df: DataFrame, replaced: Sequence[str] = ()):
+        gone = {name.lower() for name in replaced}
+        self.names = {f"_in{i}": c for i, c in enumerate(df.columns) if c.lower() not in gone}
+
+    def columns(self) -> list[Column]:
+        """Of the table, under the other names."""
+        return [F.col(quoted(c)).alias(name) for name, c in self.names.items()]
+
+    def back(self) -> list[Column]:
+        """Of a table with the other names, under their own."""
+        return [F.col(name).alias(c) for name, c in self.names.items()]
+
+
 def word_count(text: Column) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

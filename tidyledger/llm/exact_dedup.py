@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidyledger.llm.common import checkpointed, text_of
+from tidyledger.llm.common import Aside, checkpointed, quoted, text_of
 
 HEAVY = 256  # winners that are broadcast
 TRACKED = 4096  # counters of the summary; a digest above about 1/3000 of the rows is found
@@ -108,9 +108,12 @@ def exact_dedup(
 
     Texts are equal when they are identical; null counts as empty. The passes for
     the frequent digests read a stored table of ids and digests, not the texts. A
-    column of `df` named like one of the four new ones is replaced.
+    column of `df` named like one of the four new ones, in any case, is replaced.
     """
-    named = df.withColumn("text_sha256", text_digest(text_column))
-    digests = checkpointed(named.select(id_column, "text_sha256"))
-    winners = heavy_winners(digests, id_column, "text_sha256", heavy, tracked)
-    return mark_copies(named, winners, id_column, "text_sha256")
+    new = ("text_sha256", "keep_id", "group_size", "kept")
+    aside = Aside(df, new)
+    id_of = F.col(quoted(id_column)).alias("_id")
+    named = df.select(*aside.columns(), id_of, text_digest(quoted(text_column)).alias("text_sha256"))
+    digests = checkpointed(named.select("_id", "text_sha256"))
+    winners = heavy_winners(digests, "_id", "text_sha256", heavy, tracked)
+    return mark_copies(named, winners, "_id", "text_sha256").select(*aside.back(), *new)

@@ -17,19 +17,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidyledger.llm.common import WORD, checkpointed, word_count
+from tidyledger.llm.common import WORD, Aside, checkpointed, quoted, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5  # words of the mix for each word of the corpus
 PASSES = 2  # times that a document may be used
 
-_NEW = ("source_size", "target", "before", "weight", "taken", "taken_by_pass")
+_NEW = ("size", "source_size", "weight", "target", "before", "taken_by_pass", "taken")
 
 
-def _queues(df: DataFrame, id_column: str, source_column: str) -> DataFrame:
-    """The rows with their queue (never null) and part of it, by a hash of the id."""
-    source = F.col(source_column).cast("string")
-    order = F.coalesce(F.md5(F.col(id_column).cast("string")), F.lit(""))
+def _queues(df: DataFrame) -> DataFrame:
+    """The rows with their queue (never null) and part of it, by a hash of id and text.
+
+    So rows without an id, or with one id and many texts, are dealt out too.
+    """
+    source = F.col("_source").cast("string")
+    order = F.md5(F.concat_ws("/", F.col("_id").cast("string"), "_tie"))
     return df.withColumns(
         {
             "_queue": F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source)),
@@ -52,7 +55,7 @@ def _sources(parts: DataFrame, weights: Sequence[int]) -> DataFrame:
     )
 
 
-def _queued(queues: DataFrame, parts: DataFrame, sources: DataFrame, id_column: str) -> DataFrame:
+def _queued(queues: DataFrame, parts: DataFrame, sources: DataFrame) -> DataFrame:
     """`before`: words of the source queued before the row within one pass.
 
     Summed over the 4096 parts of a source first and then within each part, so
@@ -64,7 +67,7 @@ def _queued(queues: DataFrame, parts: DataFrame, sources: DataFrame, id_column:
     ).join(sources, "_queue")
     within = (
         Window.partitionBy("_queue", "_part")
-        .orderBy("_order", id_column, "size")
+        .orderBy("_order", "_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ahead = F.coalesce(F.sum("size").over(within), F.lit(0))
@@ -139,30 +142,44 @@ def mix_sources(
     weights: Sequence[int] = WEIGHTS,
     share: float = SHARE,
     passes: int = PASSES,
+    digest_column: str | None = None,
 ) -> DataFrame:
     """`df` with what the mix takes of each row; no row is dropped.
 
-    New columns (columns of these names are replaced): `size` (words; null text
-    has 0), `source_size`, `weight`, `target` (words the mix wants of the source,
-    at most `passes` times its size), `before`, `taken_by_pass` (words from the
-    start of the text, for each pass) and `taken` (their sum). Sources take the
-    weights in turn by code point, null last. If `size` is given in `df` and
-    there is no `text_column`, it is used as it is. Rows with the same id queue
-    by size. An empty table gives an empty one.
+    New columns (columns of these names, in any case, are replaced): `size` (words;
+    null text has 0), `source_size`, `weight`, `target` (words the mix wants of the
+    source, at most `passes` times its size), `before`, `taken_by_pass` (words from
+    the start of the text, for each pass) and `taken` (their sum). Sources take the
+    weights in turn by code point, null last. Documents queue by the MD5 of id and
+    MD5 of the text, those that agree in both by size. A table without
+    `text_column` gives the words as `size` and may give the MD5 of the texts as
+    `digest_column` (which is not returned). An empty table gives an empty one.
     """
-    if text_column in df.columns:
-        df = df.withColumn("size", word_count(F.col(text_column)))
-    kept = [c for c in df.columns if c not in _NEW]
-    slim = checkpointed(df.select(F.col(id_column).alias("_id"), F.col(source_column).alias("_source"), "size"))
-    queues = _queues(slim, "_id", "_source")
+    has_text = text_column.lower() in [c.lower() for c in df.columns]
+    if has_text:
+        text = F.col(quoted(text_column))
+        size, tie = word_count(text), F.md5(F.coalesce(text, F.lit("")))
+    else:
+        size, tie = F.col("size"), F.lit("") if digest_column is None else F.col(quoted(digest_column))
+    aside = Aside(df, (*_NEW, *([] if digest_column is None else [digest_column])))
+    wide = df.select(
+        *aside.columns(),
+        F.col(quoted(id_column)).alias("_id"),
+        F.col(quoted(source_column)).alias("_source"),
+        size.alias("size"),
+        tie.alias("_tie"),
+    )
+    slim = checkpointed(wide.select("_id", "_source", "size", "_tie"))
+    queues = _queues(slim)
     parts = checkpointed(queues.groupBy("_queue", "_part").agg(F.sum("size").alias("_part_size")))
     sources = checkpointed(_sources(parts, weights))
-    slim_queued = _queued(queues, parts, sources, "_id")
+    slim_queued = _queued(queues, parts, sources)
     time = find_cut(slim_queued, sources, share, passes)
-    if set(kept) == {id_column, source_column, "size"}:
-        queued = slim_queued.withColumnsRenamed({"_id": id_column, "_source": source_column})
+    of_slim = {id_column: "_id", source_column: "_source"}
+    if set(aside.names.values()) <= set(of_slim):
+        queued = slim_queued.withColumns({name: F.col(of_slim[c]) for name, c in aside.names.items()})
     else:
-        queued = _queued(_queues(df.select(*kept), id_column, source_column), parts, sources, id_column)
+        queued = _queued(_queues(wide), parts, sources)
     served = F.col("weight") * F.lit(time)
     by_pass = [
         F.greatest(
@@ -172,7 +189,8 @@ def mix_sources(
         for p in range(passes)
     ]
     return queued.select(
-        *kept,
+        *aside.back(),
+        "size",
         "source_size",
         F.col("weight").cast("int").alias("weight"),
         F.least(F.lit(float(passes)) * F.col("source_size"), served).alias("target"),
