@@ -64,7 +64,47 @@ def test_only_unseen_pairs_are_scanned(spark):
     }
 
 
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_python_on_the_way(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
-    plan = secrets.findings_of_paths(df, secrets.scan_versions(df))._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    ledger = secrets.Ledger(spark)
+    ledger.scan(df)
+    for plan in (_plan(secrets.scan_versions(df, ledger.rows())), _plan(secrets.findings_of_paths(df, ledger.rows()))):
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    assert "LeftAnti" in _plan(secrets.scan_versions(df, ledger.rows()))
+
+
+def test_the_stored_ledger_grows_by_what_is_new(spark):
+    def rows(*texts):
+        return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "path long, text string")
+
+    ledger = secrets.Ledger(spark)
+    assert ledger.rows().count() == 0
+    ledger.scan(rows("token=abcdef1", "clean", None))
+    ledger.scan(rows("token=abcdef1", "", "secret: 123456"))
+    ledger.scan(rows("clean"))
+    ledger.scan(rows("clean"), rule_version="2")
+    reopened = secrets.Ledger(spark, ledger.folder).rows()
+    assert reopened.groupBy("digest", "rule_version").count().filter("count > 1").count() == 0
+    assert sorted(r.rule_version for r in reopened.collect()) == ["1"] * 4 + ["2"]
+    before = ledger.rows().count()
+    broken = rows("new").select("path", F.raise_error(F.lit("broken")).cast("string").alias("text"))
+    try:
+        ledger.scan(broken)
+    except Exception as error:
+        assert "broken" in str(error)
+    assert ledger.rows().count() == before
+
+
+def test_a_text_of_a_third_of_the_rows_meets_its_findings_without_a_shuffle(spark):
+    """The same findings whether the digest is broadcast or not."""
+    many = " ".join(["0123456789abcdef01234567"] * (secrets.FEW + 5))  # too many to be broadcast
+    texts = ["token=abcdef1" if i % 3 == 0 else many if i % 7 == 0 else f"secret: 12345{i}" for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = secrets.findings_of_paths(df, secrets.scan_versions(df)).collect()
+    assert len(found) == 300
+    for r in found:
+        assert [tuple(f) for f in r.findings] == brute(texts[r.doc_id])
