@@ -91,6 +91,62 @@ def test_frequent_words_are_spread_without_effect():
     assert (spread == language_model._bucket(first, second, np.array([3], np.uint64), 8)).all()
 
 
+@pytest.mark.parametrize("most, width", [(255, 1), (256, 2), (2**16, 4), (2**32, 8), (2**40, 8)])
+def test_counts_of_any_size_are_stored_whole(tmp_path, most, width):
+    """Pairs that occur more often than 32 bits can say, through files and maps."""
+    folder = tmp_path.as_uri()
+    first, second = np.array([5, 5, 9, 9], np.uint64), np.array([1, 2, 1, 2], np.uint64)
+    (first, second), (times,) = language_model._summed(
+        [np.tile(first, 2), np.tile(second, 2)], [np.array([1, 0, 3, most // 2, 0, 2, 0, most - most // 2], np.int64)]
+    )
+    keys = language_model.pair_key(first, second)
+    order = np.argsort(keys)
+    model = language_model.Model(folder, 1, np.zeros(0, np.uint64), 0, 0, 0, [0, 0, 0], [0, 0, 0], [0, 0, 0])
+    assert language_model.narrow(times).itemsize == width
+    language_model._store(folder, "keys-0", keys[order])
+    language_model._store(folder, "counts-0", language_model.narrow(times[order]))
+    words = np.zeros(2, language_model.WORD)
+    words["count"], words["more"], words["before"] = [4, most], 2**33, 2**40
+    hashes = np.sort(np.array([5, 9], np.uint64))
+    language_model._store(folder, "hashes-0", hashes)
+    language_model._store(folder, "words-0", words)
+    scorer = language_model.Scorer(model)
+    asked = np.array([9, 5, 9, 5, 7], np.uint64), np.array([2, 1, 1, 2, 1], np.uint64)
+    assert scorer.pair_counts(*asked).tolist() == [most, 1, 3, 2, 0]
+    found = scorer.word_rows(np.array([9, 7, 5], np.uint64))
+    assert found["count"].tolist() == [most, 0, 4] and found["more"].tolist() == [2**33, 0, 2**33]
+    model.remove()
+    assert not tmp_path.exists()
+
+
+def test_a_task_maps_what_it_needs(tmp_path, monkeypatch):
+    """Of many buckets those of the lookups only, and never more than the limit at once."""
+    folder, buckets = tmp_path.as_uri(), 500
+    draw = np.random.default_rng(4)
+    first, second = draw.integers(1, 2**60, 4000).astype(np.uint64), draw.integers(1, 2**60, 4000).astype(np.uint64)
+    bucket = language_model._bucket(first, second, np.zeros(0, np.uint64), buckets)
+    for b in range(buckets):
+        keys = np.sort(language_model.pair_key(first[bucket == b], second[bucket == b]))
+        language_model._store(folder, f"keys-{b}", keys)
+        language_model._store(folder, f"counts-{b}", language_model.narrow((keys % np.uint64(1000)).astype(np.int64)))
+    model = language_model.Model(folder, buckets, np.zeros(0, np.uint64), 0, 0, 0, [0, 0, 0], [0, 0, 0], [0, 0, 0])
+    scorer = language_model.Scorer(model)
+    wanted = (language_model.pair_key(first, second) % np.uint64(1000)).astype(np.int64)
+    assert scorer.pair_counts(first[:5], second[:5]).tolist() == wanted[:5].tolist()
+    assert len(scorer.maps) == 2 * len(set(bucket[:5].tolist()))
+    monkeypatch.setattr(language_model, "MAPS", 7)
+    assert scorer.pair_counts(first, second).tolist() == wanted.tolist()
+    assert len(scorer.maps) <= 7
+
+
+def test_the_limit_of_spreading_follows_the_buckets(spark):
+    """A word that is spread has at least a quarter of a bucket's share, however many buckets there are."""
+    text = " ".join(["the"] * 10 + ["of"] * 3 + [f"w{i}" for i in range(87)])
+    rows = spark.createDataFrame([(i, text) for i in range(200)], "_id long, _text string")
+    for buckets, number in ((2, 0), (4, 1), (10, 2), (100, 91)):  # with start and end, 1 in 102 tokens each
+        assert len(language_model._frequent_words(rows, 200, buckets)) == number
+
+
 def test_model_of_nothing(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     found = language_model.score(df, language_model.train(df.filter("false"))).collect()

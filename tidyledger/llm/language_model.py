@@ -1,19 +1,19 @@
 """Interpolated modified Kneser-Ney language model of word pairs.
 
 Counting: each task merges the pairs of its texts and sends them, packed, to
-buckets by their first word; the most frequent words are spread over all buckets
-by the pair. A bucket sums its pairs and stores them as an array of sorted
-hashes with counts; what it knows of each word (followers, predecessors) is
-summed in buckets of words and stored likewise. Scoring: a task memory-maps the
-arrays and looks up the distinct words and pairs of a step of texts at once.
+buckets by their first word; a word that would fill a good part of a bucket is
+spread over all buckets by the pair. A bucket sums its pairs and stores them as an
+array of sorted hashes with counts; what it knows of each word (followers,
+predecessors) is summed in buckets of words and stored likewise. Scoring: a task
+looks up the distinct words and pairs of a step of texts at once. It memory-maps
+the arrays of the buckets that they fall in, and holds a bounded number of maps.
 """
 
 from __future__ import annotations
 
 import math
-import os
 import tempfile
-import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,17 +26,20 @@ from pyspark.sql import functions as F
 
 from tidyledger.llm.common import Words, arrow_map, checkpointed, pieces_array, slices
 from tidyledger.llm.ngrams import uniform
+from tidyledger.llm.shared import new_folder, store
 
 END = np.uint64(1)
 START = np.uint64(2)
 STEP = 6 << 20  # bytes of text whose pairs are merged at once
 BUCKET_CHARS = 8_000_000  # characters of the corpus for each bucket
-_FREQUENT = 0.002  # share of the words from which a word is spread over the buckets
-_LOOKED_AT = 400  # texts in which the frequent words are looked for
+_FILLS = 0.25  # of a bucket: a word with so many of the tokens is spread over all buckets
+MOST_FREQUENT = 1 << 20  # words that are spread at most; no other has a greater share than 1 in so many
+_LOOKED_AT = 400  # texts, and one more for each bucket, in which the frequent words are looked for
+MAPS = 4096  # arrays that a task holds mapped at once
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
-PAIR = np.dtype([("key", "<u8"), ("count", "<u4")])
-WORD_FIELDS = ["hash", "count", "once", "twice", "more", "before"]
+WORD_FIELDS = ["count", "once", "twice", "more", "before"]
+WORD = np.dtype([(name, "<i8") for name in WORD_FIELDS])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -132,28 +135,29 @@ def _unpacked(blob: pa.Buffer, number: int, kind: type) -> np.ndarray:
 
 
 def _store(folder: str, name: str, array: np.ndarray) -> None:
-    """Write a file whole or not at all, so that a repeated task does no harm."""
-    filesystem, path = fs.FileSystem.from_uri(folder)
-    draft = f"{path}/.{name}-{uuid.uuid4().hex}"
-    with filesystem.open_output_stream(draft) as out:
-        out.write(memoryview(np.ascontiguousarray(array)).cast("B") if len(array) else b"")
-    filesystem.move(draft, f"{path}/{name}")
+    store(folder, name, memoryview(np.ascontiguousarray(array)).cast("B") if len(array) else b"")
+
 
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """The counts in the smallest kind of whole number that holds them all."""
+    most = int(counts.max(initial=0))
+    return counts.astype(next(kind for kind in ("<u1", "<u2", "<u4", "<u8") if most <= np.iinfo(kind).max))
 
-def _mapped(folder: str, name: str, kind: np.dtype) -> np.ndarray:
-    """A stored array, memory-mapped; a copy on this machine if the folder is not a local path."""
+
+def _mapped(folder: str, name: str) -> np.ndarray:
+    """The bytes of a stored array, memory-mapped; a copy on this machine if the folder is not a local path."""
     filesystem, path = fs.FileSystem.from_uri(folder)
     path = f"{path}/{name}"
     info = filesystem.get_file_info(path)
     if info.type == fs.FileType.NotFound or not info.size:
-        return np.zeros(0, kind)
+        return np.zeros(0, np.uint8)
     if isinstance(filesystem, fs.LocalFileSystem):
-        return np.memmap(path, kind, "r")
+        return np.memmap(path, np.uint8, "r")
     with tempfile.TemporaryFile() as copy, filesystem.open_input_stream(path) as source:
         while part := source.read(8 << 20):
             copy.write(part)
         copy.flush()
-        return np.memmap(copy, kind, "r")
+        return np.memmap(copy, np.uint8, "r")
 
 
 def discounts(n: list[int]) -> list[float]:
@@ -184,34 +188,24 @@ class Model:
     word_discounts: list[float]
     word_counts: list[int]  # words with 1, 2 and 3 or more predecessors
 
-
-WORD = np.dtype([("hash", "<u8"), ("count", "<i8"), ("once", "<u4"), ("twice", "<u4"), ("more", "<u4"), ("before", "<u4")])
-
-
-def _shared_folder(df: DataFrame) -> str:
-    """A new folder below the one that all executors share, as a URI."""
-    checkpointed(df.sparkSession.range(1))  # sets a folder where none is set
-    base = df.sparkSession.sparkContext.getCheckpointDir()
-    uri = base if "://" in base or base.startswith("file:") else f"file://{os.path.abspath(base)}"
-    uri = uri.replace("file:///", "file:/").replace("file:/", "file:///")
-    folder = f"{uri}/kneser-ney-{uuid.uuid4().hex}"
-    filesystem, path = fs.FileSystem.from_uri(folder)
-    filesystem.create_dir(path)
-    return folder
+    def remove(self) -> None:
+        """Delete the stored arrays; nothing can be scored with the model afterwards."""
+        filesystem, path = fs.FileSystem.from_uri(self.folder)
+        filesystem.delete_dir(path)
 
 
 def train(df: DataFrame, text_column: str = "text", id_column: str = "doc_id") -> Model:
     """Count the word pairs of all texts of `df` and store the model.
 
     The model grows with the distinct pairs of the corpus and lies in the folder
-    that the cluster shares. Null text is empty: it trains the end after the
-    start. A table without rows gives a model that knows no word.
+    that the cluster shares until `Model.remove`. Null text is empty: it trains the
+    end after the start. A table without rows gives a model that knows no word.
     """
-    folder = _shared_folder(df)
+    folder = new_folder(df.sparkSession, "kneser-ney")
     rows = df.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
     size, number = rows.select(F.coalesce(F.sum(F.length("_text")), F.lit(0)), F.count("*")).first()
     buckets = max(8, math.ceil(size / BUCKET_CHARS))
-    frequent = _frequent_words(rows, number)
+    frequent = _frequent_words(rows, number, buckets)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text", STEP, 1 << 16):
@@ -227,11 +221,10 @@ def train(df: DataFrame, text_column: str = "text", id_column: str = "doc_id") -
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, (first, second, times) in _by_bucket(batches, [np.uint64, np.uint64, np.uint32]):
             (first, second), (times,) = _summed([first, second], [times.astype(np.int64)])
-            stored = np.empty(len(first), PAIR)
-            stored["key"], stored["count"] = pair_key(first, second), np.minimum(times, 2**32 - 1)
-            stored = stored[np.argsort(stored["key"])]
-            _store(folder, f"keys-{bucket}", stored["key"])
-            _store(folder, f"counts-{bucket}", stored["count"])
+            key = pair_key(first, second)
+            order = np.argsort(key)
+            _store(folder, f"keys-{bucket}", key[order])
+            _store(folder, f"counts-{bucket}", narrow(times[order]))
             at = np.flatnonzero(np.append(True, first[1:] != first[:-1]))
             sums = [np.add.reduceat(x.astype(np.int64), at) for x in (times, times == 1, times == 2, times >= 3)]
             followed = np.zeros(len(at), np.int64)
@@ -248,12 +241,13 @@ def train(df: DataFrame, text_column: str = "text", id_column: str = "doc_id") -
         for bucket, (word, *fields) in _by_bucket(batches, [np.uint64] + [np.int64] * 5):
             (word,), fields = _summed([word], fields)
             stored = np.empty(len(word), WORD)
-            for name, values in zip(WORD_FIELDS, [word, *fields]):
+            for name, values in zip(WORD_FIELDS, fields):
                 stored[name] = values
             # The end is never followed; it occurs once after each text.
-            stored["count"][stored["hash"] == END] = number
+            stored["count"][word == END] = number
+            _store(folder, f"hashes-{bucket}", word)
             _store(folder, f"words-{bucket}", stored)
-            real = stored[stored["hash"] != START]
+            real = stored[word != START]
             before = real["before"]
             total = [int(real["count"].sum()), len(real), int(before.sum(dtype=np.int64)), int((before >= 3).sum())]
             total += [int((before == k).sum()) for k in (1, 2, 3, 4)]
@@ -261,11 +255,11 @@ def train(df: DataFrame, text_column: str = "text", id_column: str = "doc_id") -
 
     blobs = ", ".join(f"a{i} binary" for i in range(3))
     counted = arrow_map(rows, count, f"bucket int, n long, {blobs}")
-    gathered = counted.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    gathered = counted.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket")
     blobs = ", ".join(f"a{i} binary" for i in range(6))
     per_word = checkpointed(arrow_map(gathered, pairs, f"bucket int, n long, {blobs}, totals array<bigint>"))
     pair_totals = _sum_arrays(per_word.filter("totals is not null"), 4)
-    parts = per_word.drop("totals").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    parts = per_word.drop("totals").repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket")
     total = _sum_arrays(checkpointed(arrow_map(parts, words, "totals array<bigint>")), 8)
     return Model(
         folder, buckets, frequent, total[0], total[1], total[2],
@@ -278,28 +272,30 @@ def _sum_arrays(df: DataFrame, n: int) -> list[int]:
     return list(found.first())
 
 
-def _frequent_words(rows: DataFrame, number: int) -> np.ndarray:
-    """Words that a glance at some texts finds frequent, at most 1 / _FREQUENT of them.
+def _frequent_words(rows: DataFrame, number: int, buckets: int) -> np.ndarray:
+    """Words that a glance at some texts finds to fill a part of a bucket, at most MOST_FREQUENT.
 
-    They decide where pairs are counted, not what is counted.
+    They decide where pairs are counted, not what is counted. The limit follows
+    the size of a bucket, so that no bucket grows with the corpus.
     """
+    limit = max(_FILLS / buckets, 1 / MOST_FREQUENT)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             hashes, numbers, _, _ = tokens(batch.column("_text"))
             times = np.bincount(numbers, minlength=len(hashes))
-            some = np.flatnonzero(times >= _FREQUENT / 4 * len(numbers))
+            some = np.flatnonzero(times >= limit / 4 * len(numbers))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes[some].view(np.int64)), pa.array(times[some]), pa.array(np.full(len(some), len(numbers)))],
                 ["word", "n", "of"],
             )
 
-    glance = rows.filter(uniform("_id") * max(number, 1) < _LOOKED_AT)
+    glance = rows.filter(uniform("_id") * max(number, 1) < _LOOKED_AT + buckets)
     found = arrow_map(glance, look, "word long, n long, of long").groupBy("word").agg(
         F.sum("n").alias("n"), F.sum("of").alias("of")
     )
-    found = found.filter(F.col("n") >= _FREQUENT * F.col("of")).orderBy(F.desc("n"), "word").limit(int(1 / _FREQUENT))
-    return np.array([r[0] for r in found.collect()], np.int64).view(np.uint64)
+    found = found.filter(F.col("n") >= limit * F.col("of")).orderBy(F.desc("n"), "word").limit(MOST_FREQUENT)
+    return np.sort(np.array([r[0] for r in found.collect()], np.int64).view(np.uint64))
 
 
 class Scorer:
@@ -307,35 +303,44 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.words = [_mapped(model.folder, f"words-{b}", WORD) for b in range(model.buckets)]
-        self.keys = [_mapped(model.folder, f"keys-{b}", np.dtype("<u8")) for b in range(model.buckets)]
-        self.counts = [_mapped(model.folder, f"counts-{b}", np.dtype("<u4")) for b in range(model.buckets)]
+        self.maps: OrderedDict[str, np.ndarray] = OrderedDict()
+
+    def _array(self, name: str) -> np.ndarray:
+        """A mapped array; the one that was not asked for longest makes way for it."""
+        if name not in self.maps:
+            while len(self.maps) >= MAPS:
+                self.maps.popitem(last=False)
+            self.maps[name] = _mapped(self.model.folder, name)
+        self.maps.move_to_end(name)
+        return self.maps[name]
+
+    def _find(self, bucket: np.ndarray, keys: np.ndarray, name: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each bucket that is needed: its number, which keys it has, and their places in it."""
+        order = np.lexsort([keys, bucket])  # sorted keys go through the pages of an array once
+        needed, first = np.unique(bucket[order], return_index=True)
+        for b, start, stop in zip(needed.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]):
+            table = self._array(f"{name}-{b}").view("<u8")
+            if len(table):
+                some = order[start:stop]
+                place = np.minimum(np.searchsorted(table, keys[some]), len(table) - 1)
+                known = table[place] == keys[some]
+                yield b, some[known], place[known]
 
     def word_rows(self, hashes: np.ndarray) -> np.ndarray:
         found = np.zeros(len(hashes), WORD)
-        order = np.argsort(hashes)
-        bucket = ((hashes[order] >> np.uint64(32)).astype(np.int64) * self.model.buckets) >> 32
-        for b, table in enumerate(self.words):
-            some = order[np.searchsorted(bucket, b) : np.searchsorted(bucket, b + 1)]
-            if len(some) and len(table):
-                column = np.ascontiguousarray(table["hash"])
-                place = np.minimum(np.searchsorted(column, hashes[some]), len(table) - 1)
-                known = column[place] == hashes[some]
-                found[some[known]] = table[place[known]]
+        bucket = (hashes >> np.uint64(32)).astype(np.int64) * self.model.buckets >> 32
+        for b, some, place in self._find(bucket, hashes, "hashes"):
+            found[some] = self._array(f"words-{b}").view(WORD)[place]
         return found
 
     def pair_counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         found = np.zeros(len(first), np.int64)
         bucket = _bucket(first, second, self.model.frequent, self.model.buckets)
-        key = pair_key(first, second)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(self.model.buckets + 1))
-        for b, table in enumerate(self.keys):
-            some = order[cuts[b] : cuts[b + 1]]
-            if len(some) and len(table):
-                place = np.minimum(np.searchsorted(table, key[some]), len(table) - 1)
-                known = table[place] == key[some]
-                found[some[known]] = self.counts[b][place[known]]
+        keys = pair_key(first, second)
+        for b, some, place in self._find(bucket, keys, "keys"):
+            counts = self._array(f"counts-{b}")
+            width = 8 * len(counts) // len(self._array(f"keys-{b}"))
+            found[some] = counts.view(f"<u{width}")[place]
         return found
 
     def score(self, array: pa.Array) -> list[np.ndarray]:
