@@ -30,6 +30,8 @@ from tidyledger.llm.ngrams import (
 BUCKETS = 4096
 SIZES = range(1, 4)  # n-grams of one to three characters
 SAMPLE = 3000  # labelled rows that the classifier is fitted on, at most
+L1 = 1.0  # leaves 86 to 94 % of the weights at zero (sf0.1 to sf0.001)
+L2 = 0.1
 UNDETERMINED = "und"
 
 
@@ -55,8 +57,8 @@ class Ftrl:
     features: int
     alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 0.02
-    l2: float = 0.1
+    l1: float = L1
+    l2: float = L2
 
     def __post_init__(self):
         self.z = np.zeros((self.features, self.classes))
@@ -81,10 +83,32 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
-    """The divisor of the logits with the least log loss, on a fixed grid from 0.02 to 10."""
-    grid = np.geomspace(0.02, 10, 60)
-    loss = [-np.log(softmax(logits / t)[np.arange(len(y)), y] + 1e-12).mean() for t in grid]
-    return float(grid[int(np.argmin(loss))])
+    """The divisor of the logits with the least log loss against smoothed labels.
+
+    Of n rows the label counts (n + 1) / (n + 2) and the other classes share the
+    rest (Platt's targets). So the best divisor is finite and above zero even if
+    all rows are told apart; it is found by bisecting the slope of the loss, which
+    is convex in the inverse of the divisor. Without information in the logits
+    (no rows, one class, or worse than chance) it is one or as large as 1,000.
+    """
+    n, classes = logits.shape
+    if not n or classes < 2 or not np.ptp(logits, axis=1).any():
+        return 1.0
+    targets = np.full((n, classes), 1 / (n + 2) / (classes - 1))
+    targets[np.arange(n), y] = (n + 1) / (n + 2)
+
+    def slope(scale: float) -> float:
+        return float(((softmax(logits * scale) - targets) * logits).sum())
+
+    low, high = 1e-3, 1.0
+    if slope(low) >= 0:
+        return 1 / low
+    while slope(high) < 0:
+        low, high = high, 2 * high
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if slope(middle) < 0 else (low, middle)
+    return 2 / (low + high)
 
 
 @dataclass
