@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -104,3 +105,85 @@ def test_no_single_task_takes_the_texts_between_ranges(spark):
     said = spark._jvm.PythonSQLUtils.explainString(plan, "formatted")
     single = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: SinglePartition", said)
     assert single and all("_place" in columns and "_end" not in columns for columns in single)
+
+
+_WORD = 2**64
+_FIXED = [int(x) for x in (parsing._A, parsing._B, parsing._C)]
+
+
+def _brute_mix(x: int) -> int:
+    a, b, c = _FIXED
+    x = (x + c) % _WORD
+    x = (x ^ (x >> 30)) * a % _WORD
+    x = (x ^ (x >> 27)) * b % _WORD
+    return x ^ (x >> 31)
+
+
+def _brute_phrases(names: list[int]) -> list[int]:
+    """One level over one text, symbol by symbol."""
+    a, b, _ = _FIXED
+    runs = [(name, len(list(same))) for name, same in itertools.groupby(names)]
+    symbols = [name if n == 1 else _brute_mix((name + n) % _WORD) for name, n in runs]
+    labels = symbols
+    for _ in range(4):
+        tossed = []
+        for i, label in enumerate(labels):
+            before = labels[i - 1] if i else label ^ (_WORD - 1)
+            bit = next(k for k in range(64) if (label >> k) % 2 != (before >> k) % 2)
+            tossed.append(2 * bit + (label >> bit) % 2)
+        labels = tossed
+    found, phrase = [], []
+    for i, symbol in enumerate(symbols):
+        inner = 0 < i < len(symbols) - 1
+        if inner and labels[i - 1] < labels[i] > labels[i + 1]:
+            found.append(phrase)
+            phrase = []
+        phrase.append(symbol)
+    found.append(phrase)
+    return [_brute_mix((sum(s * pow(a, k, _WORD) for k, s in enumerate(p)) + len(p) * b) % _WORD) for p in found]
+
+
+def _brute_sketch(text: str) -> list[int]:
+    names, by_level = [_brute_mix(ord(c)) for c in text], {}
+    for level in range(1, 7):
+        if names:
+            names = _brute_phrases(names)
+            by_level[level] = [_brute_mix((name + level) % _WORD) for name in names]
+            if len(names) == 1:
+                names = []
+    sketch = []
+    for i in range(64):
+        for levels in ((3, 4, 5, 6), (2,), (1,)):
+            drawn = [d for level in levels for d in by_level.get(level, []) if d >> 58 == i]
+            if drawn:
+                break
+        sketch.append(_brute_mix(min(drawn)) % 65535 + 1 if drawn else 0)
+    return sketch
+
+
+def test_sketch_against_plain_python():
+    draw = random.Random(3)
+    texts = [prose(i, draw.choice([1, 2, 5, 40, 300])) for i in range(60)]
+    texts += ["", "a", "aa", "ab" * 40, "a" * 500, "aab" * 90, "é😀" * 30, "\n\n \t", "日本語" * 7 + "x"]
+    texts += ["".join(draw.choice("ab") for _ in range(draw.randrange(200))) for _ in range(40)]
+    found = parsing.sketch(pa.array(texts))
+    for text, row in zip(texts, found.tolist()):
+        assert row == _brute_sketch(text)
+
+
+def test_query_against_plain_python(spark, sample, corpus):
+    """Fingerprints and likeness of the query on some documents, all parts in plain Python."""
+    from tidyledger.llm.queries import queries
+
+    found = {r.doc_id: r for r in queries()["op5_parsing_fingerprints"](spark, sample).collect()}
+    ids = sorted(corpus, reverse=True)
+    pairs = sorted(zip(ids, ids[1:] + ids[:1]), key=lambda p: len(corpus[p[0]].text or ""))
+    for doc_id, following in pairs[:60]:
+        text, after = corpus[doc_id].text or "", (corpus[following].text or "")[:4000]
+        half = len(text) // 2
+        own, changed = _brute_sketch(text), _brute_sketch(text[: len(text) - half] + after[:half])
+        assert found[doc_id].fingerprint == "".join(f"{n:04x}" for n in own)
+        assert found[doc_id].edited_fingerprint == "".join(f"{n:04x}" for n in changed)
+        either = sum(1 for x, y in zip(own, changed) if x or y)
+        same = sum(1 for x, y in zip(own, changed) if x == y and x)
+        assert found[doc_id].near_edited == (same / either if either else 1.0)

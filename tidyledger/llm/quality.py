@@ -4,8 +4,8 @@ A text is a latent-semantic vector: TF-IDF weights of its character n-grams and
 of the n-grams of its character classes, with some measures of style, reduced by
 a singular value decomposition. The vectors of a bounded sample of labelled
 texts are broadcast; for every document the exact cosines with all of them are
-computed in blocks, and the 25 nearest vote with their similarity as weight (all
-of them, if there are fewer).
+computed in blocks, and the 25 nearest (all, if there are fewer) vote with a power
+of their similarity as weight.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyledger.llm.common import Words, arrow_map, pieces_array, slices
+from tidyledger.llm.common import Aside, Words, arrow_map, pieces_array, slices
 from tidyledger.llm.ngrams import document_frequency, feature_rows, hashed_ngrams, uniform
 
 CONTENT = 512  # buckets of byte n-grams
@@ -28,6 +28,7 @@ SIZE = CONTENT + SHAPE + STYLE
 SAMPLE = 6000  # labelled texts that vote, at most
 TOPICS = 64  # dimensions of a vector
 NEIGHBOURS = 25  # that vote
+SHARPNESS = 8  # power of the similarity that weighs a vote: all texts are rather alike
 THRESHOLD = 0.7
 _SCALE = 10_000  # measures of style are stored as whole numbers
 
@@ -113,7 +114,7 @@ class QualityModel:
             vectors = _unit(weighted(found[block], self.idf) @ self.topics)
             cosines = vectors @ self.vectors.T
             near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(cosines, near, axis=1), 0) ** 2 + 1e-9
+            weight = np.maximum(np.take_along_axis(cosines, near, axis=1), 0) ** SHARPNESS + 1e-9
             result[block] = (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
         return np.clip(result, 0, 1)
 
@@ -169,26 +170,19 @@ def score(
 ) -> DataFrame:
     """All columns of `df` with `score` (0 to 1) and `predicted` (1 from `threshold` on).
 
-    Columns of these names are replaced. A null, empty or one-character text
-    scores the share of label 1 among the voters. Repeated rows stay rows; an
-    empty table gives none. `id_column` is not used in a score.
+    Columns of these names, in any case, are replaced. A null, empty or
+    one-character text scores the share of label 1 among the voters. Repeated rows
+    stay rows; an empty table gives none. `id_column` is not used in a score.
     """
-    kept = [c for c in df.columns if c not in ("score", "predicted")]
-    at = kept.index(text_column)
+    aside = Aside(df, ("score", "predicted"))
+    text = next(name for name, c in aside.names.items() if c.lower() == text_column.lower())
+    rows = df.select(*aside.columns())
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = [f"c{i}" for i in range(batch.num_columns)]
-            batch = pa.RecordBatch.from_arrays(batch.columns, names)
-            for part in slices(iter([batch]), f"c{at}"):
-                found = pa.array(model.scores(part.column(at)))
-                yield pa.RecordBatch.from_arrays([*part.columns, found], [*names, "score"])
-
-    rows = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+        for batch in slices(batches, text):
+            found = pa.array(model.scores(batch.column(text)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "score"])
+
     schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
     found = arrow_map(rows, compute, f"{schema}, score double")
-    return found.select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)],
-        "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"),
-    )
+    return found.select(*aside.back(), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
