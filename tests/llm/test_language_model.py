@@ -74,6 +74,73 @@ def test_against_dictionaries(spark, sample, corpus):
     assert held_model > held_base
 
 
+class Orders:
+    """A model of any order with dictionaries: longest n-grams counted, shorter ones by what stands before them."""
+
+    def __init__(self, texts, order):
+        self.order, self.counts = order, {order: Counter()}
+        for text in texts:
+            words = ["<s>"] * (order - 1) + _tokens(text)
+            for i in range(order - 1, len(words)):
+                self.counts[order][tuple(words[i - order + 1 : i + 1])] += 1
+        for k in range(order - 1, 0, -1):
+            self.counts[k] = Counter(gram[1:] for gram in self.counts[k + 1])
+        self.discounts = {
+            k: language_model.discounts([sum(n == j for n in c.values()) for j in (1, 2, 3, 4)]) for k, c in self.counts.items()
+        }
+        self.total, self.freed = defaultdict(Counter), defaultdict(Counter)
+        for k, c in self.counts.items():
+            for gram, n in c.items():
+                self.total[k][gram[:-1]] += n
+                self.freed[k][gram[:-1]] += self.discounts[k][min(n, 3) - 1]
+
+    def chance(self, gram):
+        k = len(gram)
+        if not k:
+            return 1 / (len(self.counts[1]) + 1)
+        total = self.total[k][gram[:-1]]
+        if not total:
+            return self.chance(gram[1:])
+        n = self.counts[k][gram]
+        kept = max(n - self.discounts[k][min(n, 3) - 1], 0) if n else 0
+        return kept / total + self.freed[k][gram[:-1]] / total * self.chance(gram[1:])
+
+    def score(self, text):
+        words = ["<s>"] * (self.order - 1) + _tokens(text)
+        grams = [tuple(words[i - self.order + 1 : i + 1]) for i in range(self.order - 1, len(words))]
+        return sum(math.log10(self.chance(gram)) for gram in grams)
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_orders_against_dictionaries(spark, corpus, monkeypatch, order):
+    """Several buckets and steps, frequent words that are spread, texts that are not in the model."""
+    monkeypatch.setattr(language_model, "STEP", 20_000)
+    monkeypatch.setattr(language_model, "BUCKET_CHARS", 8_000)
+    texts = {d: (r.text or "")[:3000] for d, r in sorted(corpus.items())[:120]}
+    texts |= {1000: "", 1001: None, 1002: "a", 1003: "never seen the of the", 1004: "the the the the the"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    model = language_model.train(df.filter("doc_id % 5 <> 0"), order=order)
+    brute = Orders([t for d, t in texts.items() if d % 5], order)
+    words = Counter(w for d, t in texts.items() if d % 5 for w in _tokens(t))
+    assert (model.train_tokens, model.types, len(model.frequent) > 3) == (sum(words.values()), len(words), True)
+    found = language_model.score(df, model).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        assert r.score == pytest.approx(brute.score(texts[r.doc_id]), rel=1e-6)
+        tokens = _tokens(texts[r.doc_id])
+        assert (r.n_tokens, r.n_known) == (len(tokens), sum(words[t] > 0 for t in tokens))
+        base = sum(math.log10((words[t] + 1) / (sum(words.values()) + len(words) + 1)) for t in tokens)
+        assert r.base_score == pytest.approx(base, rel=1e-9)
+    model.remove()
+
+
+def test_longer_contexts_say_more(spark, corpus):
+    """Of texts that repeat, an order more gives a greater probability."""
+    df = spark.createDataFrame([(i, "a b c d e a c b d e b a d c e " * 20) for i in range(9)], "doc_id long, text string")
+    scores = [language_model.score(df, language_model.train(df, order=k)).first().score for k in (2, 3, 4)]
+    assert scores[0] < scores[1] < scores[2] < 0
+
+
 def test_chances_sum_to_one(spark):
     brute = Brute(["a b a c", "b b d", "a", ""])
     for context in ("a", "b", "<s>", "unseen"):
@@ -84,11 +151,15 @@ def test_chances_sum_to_one(spark):
 def test_frequent_words_are_spread_without_effect():
     draw = np.random.default_rng(0)
     first, second = draw.integers(0, 9, 1000).astype(np.uint64), draw.integers(0, 99, 1000).astype(np.uint64)
-    spread = language_model._bucket(first, second, np.array([3], np.uint64), 8)
+    spread = language_model._bucket([first, second], np.array([3], np.uint64), 8)
     assert len(set(spread[first == 3])) == 8
     for word in (1, 2, 4):
         assert len(set(spread[first == word])) == 1
-    assert (spread == language_model._bucket(first, second, np.array([3], np.uint64), 8)).all()
+    assert (spread == language_model._bucket([first, second], np.array([3], np.uint64), 8)).all()
+    third = draw.integers(0, 99, 1000).astype(np.uint64)
+    both = language_model._bucket([first % np.uint64(5), first, third], np.array([3, 8], np.uint64), 8)
+    assert len(set(both[(first == 3)])) == 8 == len(set(both[first == 8]))
+    assert len(set(both[first == 4])) == 1
 
 
 @pytest.mark.parametrize("most, width", [(255, 1), (256, 2), (2**16, 4), (2**32, 8), (2**40, 8)])
@@ -99,12 +170,12 @@ def test_counts_of_any_size_are_stored_whole(tmp_path, most, width):
     (first, second), (times,) = language_model._summed(
         [np.tile(first, 2), np.tile(second, 2)], [np.array([1, 0, 3, most // 2, 0, 2, 0, most - most // 2], np.int64)]
     )
-    keys = language_model.pair_key(first, second)
+    keys = language_model.gram_key([first, second])
     order = np.argsort(keys)
-    model = language_model.Model(folder, 1, np.zeros(0, np.uint64), 0, 0, 0, [0, 0, 0], [0, 0, 0], [0, 0, 0])
+    model = language_model.Model(folder, 2, 1, np.zeros(0, np.uint64), 0, 0, 0, {2: [0, 0, 0]}, [0, 0, 0], [0, 0, 0])
     assert language_model.narrow(times).itemsize == width
-    language_model._store(folder, "keys-0", keys[order])
-    language_model._store(folder, "counts-0", language_model.narrow(times[order]))
+    language_model._store(folder, "keys2-0", keys[order])
+    language_model._store(folder, "counts2-0", language_model.narrow(times[order]))
     words = np.zeros(2, language_model.WORD)
     words["count"], words["more"], words["before"] = [4, most], 2**33, 2**40
     hashes = np.sort(np.array([5, 9], np.uint64))
@@ -112,7 +183,7 @@ def test_counts_of_any_size_are_stored_whole(tmp_path, most, width):
     language_model._store(folder, "words-0", words)
     scorer = language_model.Scorer(model)
     asked = np.array([9, 5, 9, 5, 7], np.uint64), np.array([2, 1, 1, 2, 1], np.uint64)
-    assert scorer.pair_counts(*asked).tolist() == [most, 1, 3, 2, 0]
+    assert scorer.gram_counts(list(asked)).tolist() == [most, 1, 3, 2, 0]
     found = scorer.word_rows(np.array([9, 7, 5], np.uint64))
     assert found["count"].tolist() == [most, 0, 4] and found["more"].tolist() == [2**33, 0, 2**33]
     model.remove()
@@ -124,18 +195,18 @@ def test_a_task_maps_what_it_needs(tmp_path, monkeypatch):
     folder, buckets = tmp_path.as_uri(), 500
     draw = np.random.default_rng(4)
     first, second = draw.integers(1, 2**60, 4000).astype(np.uint64), draw.integers(1, 2**60, 4000).astype(np.uint64)
-    bucket = language_model._bucket(first, second, np.zeros(0, np.uint64), buckets)
+    bucket = language_model._bucket([first, second], np.zeros(0, np.uint64), buckets)
     for b in range(buckets):
-        keys = np.sort(language_model.pair_key(first[bucket == b], second[bucket == b]))
-        language_model._store(folder, f"keys-{b}", keys)
-        language_model._store(folder, f"counts-{b}", language_model.narrow((keys % np.uint64(1000)).astype(np.int64)))
-    model = language_model.Model(folder, buckets, np.zeros(0, np.uint64), 0, 0, 0, [0, 0, 0], [0, 0, 0], [0, 0, 0])
+        keys = np.sort(language_model.gram_key([first[bucket == b], second[bucket == b]]))
+        language_model._store(folder, f"keys2-{b}", keys)
+        language_model._store(folder, f"counts2-{b}", language_model.narrow((keys % np.uint64(1000)).astype(np.int64)))
+    model = language_model.Model(folder, 2, buckets, np.zeros(0, np.uint64), 0, 0, 0, {2: [0, 0, 0]}, [0, 0, 0], [0, 0, 0])
     scorer = language_model.Scorer(model)
-    wanted = (language_model.pair_key(first, second) % np.uint64(1000)).astype(np.int64)
-    assert scorer.pair_counts(first[:5], second[:5]).tolist() == wanted[:5].tolist()
+    wanted = (language_model.gram_key([first, second]) % np.uint64(1000)).astype(np.int64)
+    assert scorer.gram_counts([first[:5], second[:5]]).tolist() == wanted[:5].tolist()
     assert len(scorer.maps) == 2 * len(set(bucket[:5].tolist()))
     monkeypatch.setattr(language_model, "MAPS", 7)
-    assert scorer.pair_counts(first, second).tolist() == wanted.tolist()
+    assert scorer.gram_counts([first, second]).tolist() == wanted.tolist()
     assert len(scorer.maps) <= 7
 
 

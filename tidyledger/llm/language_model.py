@@ -1,12 +1,15 @@
-"""Interpolated modified Kneser-Ney language model of word pairs.
-
-Counting: each task merges the pairs of its texts and sends them, packed, to
-buckets by their first word; a word that would fill a good part of a bucket is
-spread over all buckets by the pair. A bucket sums its pairs and stores them as an
-array of sorted hashes with counts; what it knows of each word (followers,
-predecessors) is summed in buckets of words and stored likewise. Scoring: a task
-looks up the distinct words and pairs of a step of texts at once. It memory-maps
-the arrays of the buckets that they fall in, and holds a bounded number of maps.
+"""Interpolated modified Kneser-Ney language model of word n-grams.
+
+Counting: each task merges the n-grams of its texts and sends them, packed, to
+buckets by their context, the words before the last; a context whose words would
+each fill a good part of a bucket is spread over all buckets by the n-gram. A
+bucket sums its n-grams and stores them as an array of sorted hashes with counts.
+Each distinct one counts once for the n-gram without its first word, which is
+counted in the same way, down to pairs; what the buckets of pairs know of each
+word (followers, predecessors) is summed in buckets of words, and what longer
+n-grams say of their contexts in buckets of contexts. Scoring: a task looks up the
+distinct words and n-grams of a step of texts at once. It memory-maps the arrays
+of the buckets that they fall in, and holds a bounded number of maps.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ from tidyledger.llm.shared import new_folder, store
 
 END = np.uint64(1)
 START = np.uint64(2)
-STEP = 6 << 20  # bytes of text whose pairs are merged at once
+ORDER = 2  # words of an n-gram
+STEP = 6 << 20  # bytes of text whose n-grams are merged at once
 BUCKET_CHARS = 8_000_000  # characters of the corpus for each bucket
 _FILLS = 0.25  # of a bucket: a word with so many of the tokens is spread over all buckets
 MOST_FREQUENT = 1 << 20  # words that are spread at most; no other has a greater share than 1 in so many
@@ -38,8 +42,10 @@ _LOOKED_AT = 400  # texts, and one more for each bucket, in which the frequent w
 MAPS = 4096  # arrays that a task holds mapped at once
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
-WORD_FIELDS = ["count", "once", "twice", "more", "before"]
-WORD = np.dtype([(name, "<i8") for name in WORD_FIELDS])
+# Of a context: what follows it in all, and how many words do so 1, 2, 3 or more times.
+CONTEXT = np.dtype([(name, "<i8") for name in ("total", "once", "twice", "more")])
+# Of a word also how often it occurs, and after how many different words.
+WORD = np.dtype([("count", "<i8"), *CONTEXT.descr, ("before", "<i8")])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -47,8 +53,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return _mix(_mix(first + _A) + second * _A)
+def gram_key(words: list[np.ndarray]) -> np.ndarray:
+    """A hash of each n-gram; `words` are the hashes of its words, first to last."""
+    key = _mix(words[0] + _A)
+    for word in words[1:]:
+        key = _mix(key + word * _A)
+    return key
 
 
 def tokens(array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -80,10 +90,33 @@ def tokens(array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return hashes, numbers, begin, has_next
 
 
-def _bucket(first: np.ndarray, second: np.ndarray, frequent: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of each pair: by the first word, or by the pair if that word is frequent."""
-    spread = np.isin(first, frequent)
-    return (np.where(spread, _mix(first + second * _A), _mix(first)) % np.uint64(buckets)).astype(np.int64)
+def grams(numbers: np.ndarray, begin: np.ndarray, has_next: np.ndarray, order: int) -> list[np.ndarray]:
+    """The `order` numbers that end at each token; before a text stand as many starts as are needed."""
+    last = np.flatnonzero(has_next) + 1
+    floor = np.repeat(begin[:-1], np.diff(begin) - 1)
+    return [numbers[np.maximum(last - back, floor)] for back in range(order - 1, -1, -1)]
+
+
+def _distinct(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows of numbers below `size`: one place of each distinct row, which it is for each row, how often."""
+    code = columns[0]
+    for column in columns[1:-1]:
+        code = np.unique(code * size + column, return_inverse=True)[1]
+    code = code * size + columns[-1] if len(columns) > 1 else code
+    return np.unique(code, return_index=True, return_inverse=True, return_counts=True)[1:]
+
+
+def _bucket(words: list[np.ndarray], frequent: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each n-gram: by its context, or by all of it if all words of the context are frequent."""
+    spread = np.isin(words[0], frequent)
+    for word in words[1:-1]:
+        spread &= np.isin(word, frequent)
+    return (np.where(spread, gram_key(words), gram_key(words[:-1])) % np.uint64(buckets)).astype(np.int64)
+
+
+def _part_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of a word or context: by range of its hash."""
+    return (key >> np.uint64(32)).astype(np.int64) * buckets >> 32
 
 
 def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -179,12 +212,13 @@ class Model:
     """Where the arrays are and the totals of the corpus; small enough to travel with a job."""
 
     folder: str
+    order: int
     buckets: int
     frequent: np.ndarray
     train_tokens: int
     types: int
     pairs: int
-    pair_discounts: list[float]
+    gram_discounts: dict[int, list[float]]  # by the number of words
     word_discounts: list[float]
     word_counts: list[int]  # words with 1, 2 and 3 or more predecessors
 
@@ -194,10 +228,30 @@ class Model:
         filesystem.delete_dir(path)
 
 
-def train(df: DataFrame, text_column: str = "text", id_column: str = "doc_id") -> Model:
-    """Count the word pairs of all texts of `df` and store the model.
+def _context_sums(context: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct contexts of n-grams that stand by context, and the fields of CONTEXT."""
+    at = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+    fields = [np.add.reduceat(x.astype(np.int64), at) for x in (times, times == 1, times == 2, times >= 3)]
+    return context[at], fields
+
+
+def _schema(arrays: int) -> str:
+    return "bucket int, n long, " + ", ".join(f"a{i} binary" for i in range(arrays))
 
-    The model grows with the distinct pairs of the corpus and lies in the folder
+
+def _padded(batch: pa.RecordBatch, arrays: int, kind: int, totals: list[int] | None) -> pa.RecordBatch:
+    """The batch with nulls for the arrays it lacks, its kind, and totals in its first row."""
+    rows = batch.num_rows
+    for i in range(batch.num_columns - 2, arrays):
+        batch = batch.append_column(f"a{i}", pa.nulls(rows, pa.binary()))
+    batch = batch.append_column("kind", pa.array(np.full(rows, kind, np.int32)))
+    return batch.append_column("totals", pa.array([totals, *[None] * (rows - 1)], pa.list_(pa.int64())))
+
+
+def train(df: DataFrame, text_column: str = "text", id_column: str = "doc_id", order: int = ORDER) -> Model:
+    """Count the n-grams of `order` words (2 at least) of all texts of `df` and store the model.
+
+    The model grows with the distinct n-grams of the corpus and lies in the folder
     that the cluster shares until `Model.remove`. Null text is empty: it trains the
     end after the start. A table without rows gives a model that knows no word.
     """
@@ -209,40 +263,73 @@ def train(df: DataFrame, text_column: str = "text", id_column: str = "doc_id") -
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text", STEP, 1 << 16):
-            hashes, numbers, _, has_next = tokens(batch.column("_text"))
-            here = np.flatnonzero(has_next)
-            pair = numbers[here] * len(hashes) + numbers[here + 1]
-            distinct, times = np.unique(pair, return_counts=True)
-            first, second = hashes[distinct // len(hashes)], hashes[distinct % len(hashes)]
-            bucket = _bucket(first, second, frequent, buckets)
-            # Equal first words stand together and compress well.
-            yield _packed(bucket, [first, second, times.astype(np.uint32)])
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, (first, second, times) in _by_bucket(batches, [np.uint64, np.uint64, np.uint32]):
-            (first, second), (times,) = _summed([first, second], [times.astype(np.int64)])
-            key = pair_key(first, second)
-            order = np.argsort(key)
-            _store(folder, f"keys-{bucket}", key[order])
-            _store(folder, f"counts-{bucket}", narrow(times[order]))
-            at = np.flatnonzero(np.append(True, first[1:] != first[:-1]))
-            sums = [np.add.reduceat(x.astype(np.int64), at) for x in (times, times == 1, times == 2, times >= 3)]
-            followed = np.zeros(len(at), np.int64)
-            preceded, by = np.unique(second, return_counts=True)
-            word = np.concatenate([first[at], preceded])
-            fields = [np.concatenate([s, np.zeros(len(preceded), np.int64)]) for s in sums]
-            fields.append(np.concatenate([followed, by]))
-            (word,), fields = _summed([word], fields)
-            batch = _packed((word >> np.uint64(32)).astype(np.int64) * buckets >> 32, [word, *fields])
-            totals = [int((times == k).sum()) for k in (1, 2, 3, 4)]
-            yield batch.append_column("totals", pa.array([totals] + [None] * (batch.num_rows - 1), pa.list_(pa.int64())))
+            hashes, numbers, begin, has_next = tokens(batch.column("_text"))
+            found = grams(numbers, begin, has_next, order)
+            at, _, times = _distinct(found, len(hashes))
+            words = [hashes[column[at]] for column in found]
+            # Equal contexts stand together and compress well.
+            yield _packed(_bucket(words, frequent, buckets), [*words, times.astype(np.uint32)])
+
+    def merged(level: int):
+        """Sums and stores the n-grams of `level` words; gives those of a word less, and the contexts.
+
+        On the way to pairs the number of all occurrences travels with the n-grams.
+        Pairs give words, with all that is known of them.
+        """
+        top = level == order
+        kinds = [np.uint64] * level + ([np.uint32] if top else [np.int64, np.int64])
+
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for bucket, found in _by_bucket(batches, kinds):
+                words, values = _summed(found[:level], [v.astype(np.int64) for v in found[level:]])
+                times, occurrences = values[0], values[-1]
+                key = gram_key(words)
+                by_key = np.argsort(key)
+                _store(folder, f"keys{level}-{bucket}", key[by_key])
+                _store(folder, f"counts{level}-{bucket}", narrow(times[by_key]))
+                totals = [int((times == k).sum()) for k in (1, 2, 3, 4)]
+                if level > 2:
+                    context, fields = _context_sums(gram_key(words[:-1]), times)
+                    yield _padded(_packed(_part_of(context, buckets), [context, *fields]), width, 1, totals)
+                    (*rest,), (each, occurrences) = _summed(words[1:], [np.ones(len(times), np.int64), occurrences])
+                    packed = _packed(_bucket(rest, frequent, buckets), [*rest, each, occurrences])
+                    yield _padded(packed, width, 0, None)
+                    continue
+                first, fields = _context_sums(words[0], times)
+                if not top:
+                    fields.insert(0, _context_sums(words[0], occurrences)[1][0])
+                preceded, by = np.unique(words[1], return_counts=True)
+                zeros, more = np.zeros(len(preceded), np.int64), np.zeros(len(first), np.int64)
+                fields = [*[np.concatenate([f, zeros]) for f in fields], np.concatenate([more, by])]
+                (word,), fields = _summed([np.concatenate([first, preceded])], fields)
+                yield _padded(_packed(_part_of(word, buckets), [word, *fields]), width, 1, totals)
+
+        width = max(level + 1, len(CONTEXT.names) + 1) if level > 2 else len(WORD.names) + (not top)
+        return merge, width
+
+    def contexts(level: int):
+        def store_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for bucket, (context, *fields) in _by_bucket(batches, [np.uint64] + [np.int64] * len(CONTEXT.names)):
+                (context,), fields = _summed([context], fields)
+                stored = np.empty(len(context), CONTEXT)
+                for name, values in zip(CONTEXT.names, fields):
+                    stored[name] = values
+                _store(folder, f"contexts{level}-{bucket}", context)
+                _store(folder, f"sums{level}-{bucket}", stored)
+                yield pa.RecordBatch.from_arrays([pa.array([[len(context)]], pa.list_(pa.int64()))], ["totals"])
+
+        return store_sums
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, (word, *fields) in _by_bucket(batches, [np.uint64] + [np.int64] * 5):
+        # In a model of pairs what follows a word in all is how often it occurs.
+        names = WORD.names if order > 2 else ("total", *WORD.names[2:])
+        for bucket, (word, *fields) in _by_bucket(batches, [np.uint64] + [np.int64] * len(names)):
             (word,), fields = _summed([word], fields)
             stored = np.empty(len(word), WORD)
-            for name, values in zip(WORD_FIELDS, fields):
+            for name, values in zip(names, fields):
                 stored[name] = values
+            if order == 2:
+                stored["count"] = stored["total"]
             # The end is never followed; it occurs once after each text.
             stored["count"][word == END] = number
             _store(folder, f"hashes-{bucket}", word)
@@ -253,17 +340,26 @@ def train(df: DataFrame, text_column: str = "text", id_column: str = "doc_id") -
             total += [int((before == k).sum()) for k in (1, 2, 3, 4)]
             yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.int64()))], ["totals"])
 
-    blobs = ", ".join(f"a{i} binary" for i in range(3))
-    counted = arrow_map(rows, count, f"bucket int, n long, {blobs}")
-    gathered = counted.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket")
-    blobs = ", ".join(f"a{i} binary" for i in range(6))
-    per_word = checkpointed(arrow_map(gathered, pairs, f"bucket int, n long, {blobs}, totals array<bigint>"))
-    pair_totals = _sum_arrays(per_word.filter("totals is not null"), 4)
-    parts = per_word.drop("totals").repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket")
+    def by_bucket(df: DataFrame, arrays: int) -> DataFrame:
+        columns = ["bucket", "n", *[f"a{i}" for i in range(arrays)]]
+        return df.select(*columns).repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket")
+
+    parts = by_bucket(arrow_map(rows, count, _schema(order + 1)), order + 1)
+    gram_discounts = {}
+    for level in range(order, 1, -1):
+        merge, width = merged(level)
+        made = checkpointed(arrow_map(parts, merge, f"{_schema(width)}, kind int, totals array<bigint>"))
+        gram_discounts[level] = discounts(_sum_arrays(made.filter("totals is not null"), 4))
+        if level > 2:
+            sums = by_bucket(made.filter("kind = 1"), len(CONTEXT.names) + 1)
+            _sum_arrays(arrow_map(sums, contexts(level), "totals array<bigint>"), 1)
+            parts = by_bucket(made.filter("kind = 0"), level + 1)
+        else:
+            parts = by_bucket(made, width)
     total = _sum_arrays(checkpointed(arrow_map(parts, words, "totals array<bigint>")), 8)
     return Model(
-        folder, buckets, frequent, total[0], total[1], total[2],
-        discounts(pair_totals), discounts(total[4:]), [total[4], total[5], total[3]],
+        folder, order, buckets, frequent, total[0], total[1], total[2],
+        gram_discounts, discounts(total[4:]), [total[4], total[5], total[3]],
     )
 
 
@@ -326,20 +422,26 @@ class Scorer:
                 known = table[place] == keys[some]
                 yield b, some[known], place[known]
 
-    def word_rows(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.zeros(len(hashes), WORD)
-        bucket = (hashes >> np.uint64(32)).astype(np.int64) * self.model.buckets >> 32
-        for b, some, place in self._find(bucket, hashes, "hashes"):
-            found[some] = self._array(f"words-{b}").view(WORD)[place]
+    def _rows(self, keys: np.ndarray, hashes: str, stored: str, kind: np.dtype) -> np.ndarray:
+        found = np.zeros(len(keys), kind)
+        for b, some, place in self._find(_part_of(keys, self.model.buckets), keys, hashes):
+            found[some] = self._array(f"{stored}-{b}").view(kind)[place]
         return found
 
-    def pair_counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        found = np.zeros(len(first), np.int64)
-        bucket = _bucket(first, second, self.model.frequent, self.model.buckets)
-        keys = pair_key(first, second)
-        for b, some, place in self._find(bucket, keys, "keys"):
-            counts = self._array(f"counts-{b}")
-            width = 8 * len(counts) // len(self._array(f"keys-{b}"))
+    def word_rows(self, hashes: np.ndarray) -> np.ndarray:
+        return self._rows(hashes, "hashes", "words", WORD)
+
+    def context_rows(self, words: list[np.ndarray]) -> np.ndarray:
+        """Of contexts of two words or more."""
+        level = len(words) + 1
+        return self._rows(gram_key(words), f"contexts{level}", f"sums{level}", CONTEXT)
+
+    def gram_counts(self, words: list[np.ndarray]) -> np.ndarray:
+        level, found = len(words), np.zeros(len(words[0]), np.int64)
+        bucket = _bucket(words, self.model.frequent, self.model.buckets)
+        for b, some, place in self._find(bucket, gram_key(words), f"keys{level}"):
+            counts = self._array(f"counts{level}-{b}")
+            width = 8 * len(counts) // len(self._array(f"keys{level}-{b}"))
             found[some] = counts.view(f"<u{width}")[place]
         return found
 
@@ -348,37 +450,34 @@ class Scorer:
         m = self.model
         hashes, numbers, begin, has_next = tokens(array)
         rows = self.word_rows(hashes)
-        is_token = np.ones(len(numbers), bool)
-        is_token[begin[:-1]] = False
-        owner = np.repeat(np.arange(len(array)), np.diff(begin))
-        owner, numbers_of = owner[is_token], numbers[is_token]
         base = np.log10((rows["count"] + 1) / (m.train_tokens + m.types + 1))
         # Words after any word: continuation counts, interpolated with the same for all.
         before = rows["before"].astype(np.float64)
         d = np.array([0.0, *m.word_discounts])
         left = sum(x * y for x, y in zip(m.word_discounts, m.word_counts))
-        any_word = np.maximum(before - d[np.minimum(rows["before"], 3).astype(np.int64)], 0) / max(m.pairs, 1)
-        any_word += (left / m.pairs if m.pairs else 1.0) / (m.types + 1)
-        here = np.flatnonzero(has_next)
-        pair, at = np.unique(numbers[here] * len(hashes) + numbers[here + 1], return_inverse=True)
-        first, second = pair // len(hashes), pair % len(hashes)
-        times = self.pair_counts(hashes[first], hashes[second])
-        d = np.array([0.0, *m.pair_discounts])
-        total = rows["count"][first].astype(np.float64)
-        freed = sum(x * rows[name][first].astype(np.float64) for x, name in zip(m.pair_discounts, ("once", "twice", "more")))
-        seen = total > 0
-        total[~seen] = 1
-        chance = np.where(
-            seen,
-            np.maximum(times - d[np.minimum(times, 3)], 0) / total + freed / total * any_word[second],
-            any_word[second],
-        )
+        chance = np.maximum(before - d[np.minimum(rows["before"], 3)], 0) / max(m.pairs, 1)
+        chance += (left / m.pairs if m.pairs else 1.0) / (m.types + 1)
+        found = grams(numbers, begin, has_next, m.order)
+        which = found[-1]  # of the chances so far, that of each token
+        for level in range(2, m.order + 1):
+            own = found[-level:]
+            at, now, _ = _distinct(own, len(hashes))
+            words = [hashes[column[at]] for column in own]
+            sums = rows[own[0][at]] if level == 2 else self.context_rows(words[:-1])
+            times, total = self.gram_counts(words), sums["total"].astype(np.float64)
+            d = np.array([0.0, *m.gram_discounts[level]])
+            freed = sum(x * sums[name] for x, name in zip(m.gram_discounts[level], ("once", "twice", "more")))
+            shorter, seen = chance[which[at]], total > 0
+            total[~seen] = 1
+            kept = np.maximum(times - d[np.minimum(times, 3)], 0) / total
+            chance, which = np.where(seen, kept + freed / total * shorter, shorter), now
         n = len(array)
+        owner = np.repeat(np.arange(n), np.diff(begin) - 1)
         return [
             np.bincount(owner, minlength=n),
-            np.bincount(owner, rows["count"][numbers_of] > 0, minlength=n).astype(np.int64),
-            np.bincount(owner, base[numbers_of], minlength=n),
-            np.bincount(owner, np.log10(chance)[at], minlength=n),
+            np.bincount(owner, rows["count"][found[-1]] > 0, minlength=n).astype(np.int64),
+            np.bincount(owner, base[found[-1]], minlength=n),
+            np.bincount(owner, np.log10(chance)[which], minlength=n),
         ]
 
 
