@@ -239,7 +239,7 @@ def simhash_near_duplicates(
     distinct = checkpointed(marked.groupBy("fp").agg(F.min(id_column).alias("least"), F.count("*").alias("n")))
     roots = checkpointed(components(links(distinct, max_bits)).select(F.col("node").alias("fp"), "root"))
     linked = distinct.join(roots, "fp")
-    least = linked.groupBy("root").agg(F.min("least").alias("least"), F.count("*").alias("n"))
+    least = checkpointed(linked.groupBy("root").agg(F.min("least").alias("least"), F.count("*").alias("n")))
     moved = lookup(roots, least, "root").select("fp", F.col("least").alias("reached"))
     per_fp = checkpointed(
         distinct.join(moved, "fp", "left").select("fp", "n", F.coalesce("reached", "least").alias("component_id"))
