@@ -111,6 +111,18 @@ class Orders:
         return sum(math.log10(self.chance(gram)) for gram in grams)
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_distinct_rows(order):
+    draw = np.random.default_rng(order)
+    columns = [draw.integers(0, 5, 400) for _ in range(order)]
+    rows = list(zip(*[c.tolist() for c in columns]))
+    found, times = language_model._counted(columns, 5)
+    assert list(zip(*[c.tolist() for c in found])) == sorted(set(rows))
+    assert dict(zip(sorted(set(rows)), times.tolist())) == Counter(rows)
+    at, which = language_model._distinct(columns, 5)
+    assert len(at) == len(set(rows)) and [rows[at[k]] for k in which.tolist()] == rows
+
+
 @pytest.mark.parametrize("order", [2, 3, 4])
 def test_orders_against_dictionaries(spark, corpus, monkeypatch, order):
     """Several buckets and steps, frequent words that are spread, texts that are not in the model."""

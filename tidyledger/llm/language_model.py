@@ -97,13 +97,37 @@ def grams(numbers: np.ndarray, begin: np.ndarray, has_next: np.ndarray, order: i
     return [numbers[np.maximum(last - back, floor)] for back in range(order - 1, -1, -1)]
 
 
-def _distinct(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows of numbers below `size`: one place of each distinct row, which it is for each row, how often."""
-    code = columns[0]
-    for column in columns[1:-1]:
-        code = np.unique(code * size + column, return_inverse=True)[1]
-    code = code * size + columns[-1] if len(columns) > 1 else code
-    return np.unique(code, return_index=True, return_inverse=True, return_counts=True)[1:]
+def _codes(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """One number for each row of numbers below `size`, and what its front part stands for, column by column."""
+    code, fronts = columns[0], []
+    for column in columns[1:]:
+        if len(fronts) < len(columns) - 2:
+            front, code = np.unique(code * size + column, return_inverse=True)
+            fronts.append(front)
+        else:
+            code = code * size + column
+    return code, fronts
+
+
+def _counted(columns: list[np.ndarray], size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows, column by column and sorted, and how often each occurs."""
+    code, fronts = _codes(columns, size)
+    front, times = np.unique(code, return_counts=True)
+    found = [front % size]
+    front = front // size
+    for known in reversed(fronts):
+        front = known[front]
+        found.append(front % size)
+        front = front // size
+    return [front, *found[::-1]], times
+
+
+def _distinct(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct row, and which of them each row is."""
+    found, which = np.unique(_codes(columns, size)[0], return_inverse=True)
+    at = np.empty(len(found), np.int64)
+    at[which] = np.arange(len(which))
+    return at, which
 
 
 def _bucket(words: list[np.ndarray], frequent: np.ndarray, buckets: int) -> np.ndarray:
@@ -264,9 +288,8 @@ def train(df: DataFrame, text_column: str = "text", id_column: str = "doc_id", o
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text", STEP, 1 << 16):
             hashes, numbers, begin, has_next = tokens(batch.column("_text"))
-            found = grams(numbers, begin, has_next, order)
-            at, _, times = _distinct(found, len(hashes))
-            words = [hashes[column[at]] for column in found]
+            found, times = _counted(grams(numbers, begin, has_next, order), len(hashes))
+            words = [hashes[column] for column in found]
             # Equal contexts stand together and compress well.
             yield _packed(_bucket(words, frequent, buckets), [*words, times.astype(np.uint32)])
 
@@ -461,7 +484,7 @@ class Scorer:
         which = found[-1]  # of the chances so far, that of each token
         for level in range(2, m.order + 1):
             own = found[-level:]
-            at, now, _ = _distinct(own, len(hashes))
+            at, now = _distinct(own, len(hashes))
             words = [hashes[column[at]] for column in own]
             sums = rows[own[0][at]] if level == 2 else self.context_rows(words[:-1])
             times, total = self.gram_counts(words), sums["total"].astype(np.float64)
